@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -56,8 +58,26 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once for each Spark application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="actlens-")) / "actlens_sources.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], schema: str) -> DataFrame:
     """``mapInArrow`` with state made once a task: ``make()`` returns the function for one batch."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

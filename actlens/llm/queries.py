@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actlens.llm import bpe, quality_rules, secret_scan
+from actlens.llm import bpe, html_text, near_dedup, quality_rules, secret_scan, url_filter
 from actlens.llm.common import table
 
 
@@ -21,18 +21,51 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws)))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id > b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b
+  WHERE 100 * c.c >= 80 * (x.n + y.n - c.c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l UNION SELECT doc_id, doc_id FROM documents),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = d.doc_id
+"""
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    blocked = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), blocked)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.verdicts(quality_rules.ledger(table(spark, sf_dir, "documents")))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op3_bpe, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_minhash_near_dedup, op3_bpe, op5_html_text, op9_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_minhash_near_dedup": OP2_SQL}
