@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actlens.llm import bpe, html_text, near_dedup, quality_rules, secret_scan, url_filter
-from actlens.llm.common import table
+from actlens.llm import bpe, decontamination, html_text, language_id, near_dedup, quality_rules, secret_scan, token_counts, token_output, url_filter
+from actlens.llm.common import Scratch, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,10 +48,31 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("cosine", 4).alias("cosine"), F.round("lcs_share", 4).alias("lcs_share"), F.round("answer_share", 4).alias("answer_share"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(docs.where(~held))
+    return language_id.identify(docs, model).select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_counts(table(spark, sf_dir, "documents"), rule="largest")
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "tokens")
+    return token_output.write_shards(table(spark, sf_dir, "documents"), f"{scratch.root}/shards", scratch=scratch)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     blocked = labels.select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
@@ -64,7 +85,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secret_scan, op2_minhash_near_dedup, op3_bpe, op5_html_text, op9_url_filter, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_minhash_near_dedup, op3_bpe, op4_benchmark_decontamination, op5_html_text, op6_language_id, op7_token_counts, op8_token_output, op9_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
