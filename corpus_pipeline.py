@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from actlens.llm import bpe, quality_rules, secret_scan
+from actlens.llm import bpe, decontamination, near_dedup, quality_rules, secret_scan
+from actlens.llm.common import Scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,6 +13,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    return near_dedup.deduplicate(docs, shingle=5, percent=80)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark passage is found."""
+    return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets taken out of the texts."""
     return secret_scan.redact_documents(docs)
@@ -22,14 +33,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("secret_scan", secrets), ("bpe", encode)]
+STAGES = [("quality_rules", quality), ("near_dedup", near_duplicates), ("benchmark_decontamination", benchmark), ("secret_scan", secrets), ("bpe", encode)]
+#: Neither the retrieval nor the encoding can be written in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again before the next."""
-    from actlens.llm.common import Scratch, table
-
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
