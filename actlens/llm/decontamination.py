@@ -231,7 +231,7 @@ class Searcher:
             answered = common_subsequence(answer, answer_length, region) / answer_length if answer_length else 1.0
             if share < SURE and answered < ANSWERED:
                 continue
-            item, value = self.items[p], (share, answered, float(cosines[w, p]))
+            item, value = self.items[p], (share, answered, min(1.0, float(cosines[w, p])))
             if item not in best or value > best[item]:
                 best[item] = value
         return [(item, v[2], v[0], v[1]) for item, v in sorted(best.items())]
