@@ -29,8 +29,6 @@ def parsed(rows: DataFrame, reply_col: str) -> DataFrame:
     valid = F.try_parse_json(text).isNotNull()
     listed = F.schema_of_variant(F.try_parse_json(F.get_json_object(text, "$.materias"))).startswith("ARRAY")
     out = rows.withColumn("saida", F.from_json(text, REPLY))
-    theme = has_text(F.col("m.tema_macro")) | has_text(F.col("m.tema_especifico"))
-    del theme
 
     def lacking(test) -> Column:
         return F.exists(F.coalesce(F.col("saida.materias"), F.array().cast(f"array<{MATTER}>")), test)

@@ -76,7 +76,8 @@ def link_pending(relations: DataFrame, acts: DataFrame) -> DataFrame:
     there = relations.where("destino is not null").select("origem", F.col("destino").alias("__id"), "tipo").distinct().withColumn("__there", F.lit(True))
     out = relations.join(ids, "destino_id_portal", "left").join(there, ["origem", "__id", "tipo"], "left")
     linked = F.col("destino").isNull() & F.col("__id").isNotNull() & F.col("__there").isNull()
-    return out.withColumn("destino", F.when(linked, F.col("__id")).otherwise(F.col("destino"))).withColumn("ligada", linked).select(*relations.columns, "ligada")
+    target = F.when(linked, F.col("__id")).otherwise(F.col("destino")).alias("destino")
+    return out.select(*[target if c == "destino" else F.col(c) for c in relations.columns], linked.alias("ligada"))
 
 
 def act_rows(listing: DataFrame) -> DataFrame:
@@ -100,11 +101,9 @@ def resolve_identity(asked: DataFrame, acts: DataFrame, excluded: tuple[str, ...
     The natural key is not used for types whose numbers repeat across units, nor where it names several acts.
     """
     by_id = acts.where("id_portal is not null").groupBy("id_portal").agg(F.min("id").alias("__a"))
-    in_link = F.regexp_extract(F.coalesce("link", F.lit("")), r"idAto=(\d+)", 1)
     by_link = acts.withColumn("__l", F.expr("try_cast(nullif(regexp_extract(coalesce(link, ''), 'idAto=(\\\\d+)', 1), '') as long)")).where("__l is not null").groupBy(F.col("__l").alias("id_portal")).agg(F.min("id").alias("__b"))
     key = ["tipo_ato", "__n", "ano"]
     natural = acts.withColumn("__n", digits(F.col("numero"))).where(~F.col("tipo_ato").isin(*excluded)).groupBy(*key).agg(F.min("id").alias("__c"), F.count("*").alias("__k"))
-    del in_link
     rows = asked.withColumn("__n", digits(F.col("numero"))).join(by_id, "id_portal", "left").join(by_link, "id_portal", "left").join(natural, key, "left")
     out = rows.withColumn("ato", F.coalesce("__a", "__b", F.when(F.col("__k") == 1, F.col("__c"))))
     how = F.when(F.col("__a").isNotNull(), "id_portal").when(F.col("__b").isNotNull(), "link").when(F.col("__k") == 1, "chave").when(F.col("__k") > 1, "ambiguo").otherwise("ausente")
