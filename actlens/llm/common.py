@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from collections.abc import Callable, Iterator
-from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch. Texts may be 100 kB and more, so that batches must stay short.
-BATCH_ROWS = 512
+from actlens.functions.arrow import BATCH_ROWS, arrow_map, column_of, ship, texts_of
+
+__all__ = ["BATCH_ROWS", "Scratch", "arrow_map", "column_of", "components", "ship", "shared_dir", "table", "texts_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,50 +55,6 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the Python workers, once for each Spark application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="actlens-")) / "actlens_sources.zip"
-    with zipfile.ZipFile(path, "w") as archive:
-        for file in sorted(root.rglob("*.py")):
-            archive.write(file, file.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(path))
-    _shipped.add(app)
-
-
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], schema: str) -> DataFrame:
-    """``mapInArrow`` with state made once a task: ``make()`` returns the function for one batch."""
-    ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = None
-        for batch in batches:
-            step = step or make()
-            out = step(batch)
-            if isinstance(out, pa.Table):
-                yield from out.to_batches()
-            else:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
-def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
-    """The texts of a column; null becomes the empty text."""
-    return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
-
-
-def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
-
-
 def components(scratch: Scratch, edges: DataFrame, limit: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b long): each node with the smallest node it can reach.
 

@@ -8,7 +8,9 @@ the threshold falls under ``MISS``; the survivors are confirmed on their full se
 No group's pairs are spelled out. Equal sets are linked by digest. In each band bucket every document is first
 tried against one hub (the smallest id); what is linked is contracted to components. Only buckets that still
 hold several components are looked at again: there, all pairs between components are compared inside blocks of
-at most ``BLOCK`` signatures, so that no list, and no task, grows with a bucket.
+about ``BLOCK`` signatures, so that no list, and no task, grows with a bucket. What stays is held as lists of
+candidates, by document and block of a component, and is confirmed block by block; one confirmed link to a
+component's block is enough, so that the links kept grow with the documents and not with their pairs.
 
 Defined cases: texts that are null or hold no word have an empty set and are linked with nothing; a text of fewer
 words than a shingle is one shingle; ties are settled by the smallest id; repeated rows of one id are kept, each
@@ -33,6 +35,8 @@ HASHES = BANDS * ROWS
 BATCH = 48
 MISS = 1e-5
 BLOCK = 1024
+#: Documents of a component whose texts are confirmed together.
+TEXTS = 256
 MEMO = 400_000
 _draw = np.random.default_rng(20240607)
 XORS = _draw.integers(0, 1 << 32, HASHES, np.uint32)
@@ -152,25 +156,29 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
 
 
-def only(rows: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
-    """The ``rows`` whose key is an end of one of ``pairs``, and a few others: a filter ahead of a shuffle.
+def only(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose key is among ``ids`` (one column), and a few others: a filter ahead of a shuffle.
 
-    A bitmap of hashed ids, of a size fixed by the number of pairs and 8 MB at most, is joined by broadcast; when
-    it is too small for the ids it lets more rows through, which the joins that follow drop.
+    A bitmap of hashed ids, of a size fixed by their number and 8 MB at most, is joined by broadcast; when it is too
+    small for the ids it lets more rows through, which the joins that follow drop.
     """
-    n = pairs.count()
-    size = 1 << min(26, max(15, (64 * max(1, n)).bit_length()))
+    n = ids.count()
+    size = 1 << min(26, max(15, (32 * max(1, n)).bit_length()))
     place = F.pmod(F.xxhash64("__id"), F.lit(size))
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("__id")).select(place.alias("p"))
+    ends = ids.toDF("__id").select(place.alias("p"))
     maps = ends.groupBy(F.expr("p div 32768").alias("__part")).agg(F.expr("bitmap_construct_agg(p % 32768)").alias("__map"))
     placed = rows.withColumn("__id", F.col(key)).withColumn("__p", place).withColumn("__part", F.expr("__p div 32768"))
     bit = F.expr("shiftright(cast(conv(hex(substring(__map, cast((__p % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast(__p % 8 as int)) & 1")
     return placed.join(F.broadcast(maps), "__part").where(bit == 1).select(*rows.columns)
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").unionAll(pairs.select("b"))
+
+
 def probable(scratch: Scratch, pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (a, b) those that pass the sequential test."""
-    few = only(sigs.where("sig is not null").select("doc_id", "sig"), "doc_id", pairs)
+    few = only(sigs.where("sig is not null").select("doc_id", "sig"), "doc_id", ends_of(pairs))
     both = pairs.join(few.toDF("a", "sig_a"), "a").join(few.toDF("b", "sig_b"), "b")
 
     def make():
@@ -193,7 +201,7 @@ def shingle_set(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
 
 def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of the pairs those whose full sets reach the similarity: 100 * intersection >= percent * union."""
-    few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", pairs)
+    few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", ends_of(pairs))
     both = pairs.join(few.toDF("a", "text_a"), "a").join(few.toDF("b", "text_b"), "b")
 
     def make():
@@ -216,24 +224,22 @@ def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int,
     return scratch.put(arrow_map(both.select("a", "b", "text_a", "text_b"), make, "a long, b long").distinct())
 
 
-def across(buckets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Probable pairs (a, b) between documents of one bucket that are in different components.
+def across(buckets: DataFrame, percent: int) -> DataFrame:
+    """(probe, comp, sub, cands): for documents of buckets with several components the plausible partners elsewhere.
 
-    ``buckets`` has (bucket, doc_id, set_key, sig), ``found`` (node, component). In a bucket of several
-    components, base rows are all documents and probe rows those outside the hub's component; both are dealt
-    into blocks, and each probe block meets each base block in one row.
+    ``buckets`` has (bucket, doc_id, comp, sub, set_key, sig), mixed buckets only. Base rows are all documents and
+    probe rows those outside the component of the smallest number; both are dealt into blocks, and each probe block
+    meets each base block in one row.
     """
-    named = buckets.join(found.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    mixed = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low < high")
-    rows = named.join(mixed.select("bucket", "low", "n"), "bucket")
     # equal sets are in one component and have equal signatures: one of them speaks for all
-    rows = rows.groupBy("bucket", "comp", "set_key").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("low").alias("low"), F.first("n").alias("n"))
-    probes_n = rows.groupBy("bucket").agg(F.count_if(F.col("comp") != F.col("low")).alias("probes"), F.count("*").alias("bases"))
-    rows = rows.join(probes_n, "bucket")
-    rows = rows.withColumn("pm", F.expr(f"cast(ceil(probes / {BLOCK}) as int)")).withColumn("bm", F.expr(f"cast(ceil(bases / {BLOCK}) as int)"))
+    rows = buckets.groupBy("bucket", "comp", "set_key").agg(F.min(F.struct("doc_id", "sub", "sig")).alias("m")).select("bucket", "comp", "m.*")
+    low = rows.groupBy("bucket").agg(F.min("comp").alias("low"))
+    sizes = rows.join(low, "bucket").groupBy("bucket").agg(F.first("low").alias("low"), F.count_if(F.col("comp") != F.col("low")).alias("probes"), F.count("*").alias("bases"))
+    rows = rows.join(sizes, "bucket")
+    rows = rows.withColumn("pm", F.expr(f"cast(ceil(probes / {BLOCK}) as int)")).withColumn("bm", F.expr(f"cast(ceil(bases / {BLOCK}) as int)")).where("pm > 0")
     own = F.expr("cast(pmod(xxhash64(doc_id), bm) as int)")
     mine = F.expr("cast(pmod(xxhash64(doc_id, 1), pm) as int)")
-    cell = F.struct(F.col("doc_id"), F.col("comp"), F.col("sig"))
+    cell = F.struct("doc_id", "comp", "sub", "sig")
     bases = rows.select("bucket", F.explode(F.expr("sequence(0, pm - 1)")).alias("p"), own.alias("c"), F.lit(False).alias("probe"), cell.alias("cell"))
     probes = rows.where("comp <> low").select("bucket", mine.alias("p"), F.explode(F.expr("sequence(0, bm - 1)")).alias("c"), F.lit(True).alias("probe"), cell.alias("cell"))
     blocks = bases.unionAll(probes).groupBy("bucket", "p", "c").agg(F.expr("collect_list(cell) filter (where not probe)").alias("bases"), F.expr("collect_list(cell) filter (where probe)").alias("probes"))
@@ -241,25 +247,68 @@ def across(buckets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     def make():
         least = least_matches(percent)
 
-        def parts(cells: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return np.array([x["doc_id"] for x in cells], np.int64), np.array([x["comp"] for x in cells], np.int64), np.frombuffer(b"".join(x["sig"] for x in cells), np.uint8).reshape(-1, HASHES)
+        def parts(cells: list[dict]) -> tuple[np.ndarray, ...]:
+            numbers = [np.array([x[c] for x in cells], np.int64) for c in ("doc_id", "comp", "sub")]
+            return *numbers, np.frombuffer(b"".join(x["sig"] for x in cells), np.uint8).reshape(-1, HASHES)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            found: dict[tuple[int, int, int], list[int]] = {}
             for bases, probes in zip(column_of(batch, "bases").to_pylist(), column_of(batch, "probes").to_pylist(), strict=True):
                 if not bases or not probes:
                     continue
-                (b_id, b_comp, b_sig), (p_id, p_comp, p_sig) = parts(bases), parts(probes)
+                (b_id, b_comp, b_sub, b_sig), (p_id, p_comp, _, p_sig) = parts(bases), parts(probes)
                 for k in range(0, len(p_id), 64):
                     i, j = np.nonzero(p_comp[k : k + 64, None] != b_comp[None, :])
                     i, j = plausible(p_sig, b_sig, i + k, j, least)
-                    left.append(np.maximum(p_id[i], b_id[j]))
-                    right.append(np.minimum(p_id[i], b_id[j]))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                        found.setdefault((int(p_id[x]), int(b_comp[y]), int(b_sub[y])), []).append(int(b_id[y]))
+            keys = list(found)
+            columns = [pa.array([k[c] for k in keys], pa.int64()) for c in range(3)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([found[k] for k in keys], pa.list_(pa.int64()))], ["probe", "comp", "sub", "cands"])
+
+        return step
+
+    found = arrow_map(blocks.select("bases", "probes"), make, "probe long, comp long, sub long, cands array<long>", rows=64)
+    # a block holds about TEXTS documents, so that its list of candidates is short
+    return found.groupBy("probe", "comp", "sub").agg(F.array_distinct(F.flatten(F.collect_list("cands"))).alias("cands"))
+
+
+def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of probes to blocks of components, by full sets; of each block one link a probe is enough.
+
+    ``members`` has (doc_id, comp, sub): the documents of each block.
+    """
+    touched = found.select("comp", "sub").distinct()
+    held = scratch.put(members.join(touched, ["comp", "sub"], "left_semi"))
+    needed = held.select("doc_id").unionAll(found.select(F.col("probe").alias("doc_id"))).distinct()
+    texts = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", needed)
+    blocks = held.join(texts, "doc_id").groupBy("comp", "sub").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
+    counts = found.groupBy("comp", "sub").agg(F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
+    probes = found.join(counts, ["comp", "sub"]).join(texts.withColumnRenamed("doc_id", "probe"), "probe")
+    probes = probes.groupBy("comp", "sub", F.expr("pmod(xxhash64(probe), m)").alias("k")).agg(F.collect_list(F.struct("probe", "cands", "text")).alias("probes"))
+    both = probes.join(blocks, ["comp", "sub"]).select("probes", "docs")
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            links: list[tuple[int, int]] = []
+            for probes, docs in zip(column_of(batch, "probes").to_pylist(), column_of(batch, "docs").to_pylist(), strict=True):
+                sets = {x["doc_id"]: shingle_set(words_of(x["text"] or ""), shingle) for x in docs}
+                for p in probes:
+                    one = shingle_set(words_of(p["text"] or ""), shingle)
+                    for c in p["cands"]:
+                        two = sets.get(c, ())
+                        # sizes alone can rule a pair out
+                        if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
+                            continue
+                        common = len(one & two)
+                        if common and 100 * common >= percent * (len(one) + len(two) - common):
+                            links.append((p["probe"], c))
+                            break
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
         return step
 
-    return arrow_map(blocks.select("bases", "probes"), make, "a long, b long").distinct()
+    return scratch.put(arrow_map(both, make, "a long, b long", rows=8))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -279,13 +328,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     links = confirmed(scratch, probable(scratch, stars, sigs, percent), docs, shingle, percent).unionAll(same)
     found = components(scratch, links)
     # only documents that are in buckets of several components are needed with their signatures
-    rest = shared.select("bucket", "doc_id")
-    comps = rest.join(found.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    mixed = comps.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-    left = scratch.put(rest.join(mixed, "bucket", "left_semi"))
-    keyed = only(named.select("doc_id", "set_key", "sig"), "doc_id", left.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
-    more = scratch.put(across(left.join(keyed, "doc_id"), found, percent).join(stars, ["a", "b"], "left_anti"))
-    links = links.unionAll(confirmed(scratch, more, docs, shingle, percent))
+    sizes = found.groupBy("component").agg(F.expr(f"ceil(count(*) / {TEXTS})").alias("m"))
+    placed = found.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
+    named_buckets = shared.select("bucket", "doc_id").join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"), F.coalesce("sub", F.lit(0)).cast("long").alias("sub"))
+    named_buckets = scratch.put(named_buckets)
+    mixed = named_buckets.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
+    left = scratch.put(named_buckets.join(mixed, "bucket", "left_semi"))
+    members = scratch.put(left.select("doc_id", "comp", "sub").distinct())
+    keyed = only(named.select("doc_id", "set_key", "sig"), "doc_id", members.select("doc_id"))
+    partners = scratch.put(across(left.join(keyed, "doc_id"), percent))
+    links = links.unionAll(confirmed_blocks(scratch, partners, members, docs, shingle, percent))
     found = components(scratch, links)
     out = sigs.select("doc_id", "n_shingles").join(found.toDF("doc_id", "component_id"), "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
