@@ -116,7 +116,7 @@ def next_batch_state(state: Column, finished: Column, complete: Column, manual:
 
 
 def _greedy(rows: DataFrame, group: str | None, schema: str, step) -> DataFrame:
-    return (rows.groupBy(group) if group else rows.groupBy(F.lit(0))).applyInPandas(step, schema)
+    return (rows.groupBy(group) if group else rows.groupBy(F.lit("all"))).applyInPandas(step, schema)
 
 
 def admit_within_budget(rows: DataFrame, cost: str, order: list[str], budget: float, group: str | None = None) -> DataFrame:

@@ -83,7 +83,7 @@ def link_pending(relations: DataFrame, acts: DataFrame) -> DataFrame:
 def act_rows(listing: DataFrame) -> DataFrame:
     """Act rows of a listing with its view: digits of the number, year of the act's date else of publication, defaults."""
     published = date_dmy(F.col("publicacao"))
-    first = F.element_at(F.filter(F.coalesce("ementas", F.array().cast("array<string>")), lambda x: F.trim(x) != ""), 1)
+    first = F.get(F.filter(F.coalesce("ementas", F.array().cast("array<string>")), lambda x: F.trim(x) != ""), F.lit(0))
     return listing.select(
         F.col("idAto").alias("id_portal"),
         F.col("tipo").alias("tipo_ato"),
