@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actlens.llm.common import arrow_map, column_of, texts_of
+from actlens.llm.common import arrow_map, texts_of
 
 #: name -> condition of failure over the measurements; the place in this list is the bit.
 RULES = {
@@ -100,23 +100,25 @@ def mask(policy: str) -> int:
     return sum(BITS[x] for x in POLICIES[policy])
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: id, ``keep`` columns, measurements and ``fail_bits``. No shuffle."""
-    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)])
-    types = dict(source.dtypes)
-    schema = ", ".join([f"__id {types['__id']}", *[f"__k{i} {types[f'__k{i}']}" for i in range(len(keep))], *[f"{m} long" for m in MEASURES]])
+def _measured(source: DataFrame, text_col: str) -> DataFrame:
+    """All columns of ``source`` and the measurements of one of them. No shuffle."""
+    fields = [f"`{n}` {t}" for n, t in source.dtypes] + [f"{m} long" for m in MEASURES]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [measure(t) for t in texts_of(batch, "__text")]
+            rows = [measure(t) for t in texts_of(batch, text_col)]
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * len(MEASURES)
-            kept = [column_of(batch, f"__k{i}") for i in range(len(keep))]
-            return pa.RecordBatch.from_arrays([column_of(batch, "__id"), *kept, *columns], ["__id", *[f"__k{i}" for i in range(len(keep))], *MEASURES])
+            return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *MEASURES])
 
         return step
 
-    rows = arrow_map(source, make, schema)
-    return rows.select(F.col("__id").alias(id_col), *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)], *MEASURES, failure_bits().alias("fail_bits"))
+    return arrow_map(source, make, ", ".join(fields))
+
+
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, measurements and ``fail_bits``."""
+    rows = _measured(docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")), "__text")
+    return rows.select(F.col("__id").alias(id_col), *MEASURES, failure_bits().alias("fail_bits"))
 
 
 def verdicts(rows: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
@@ -140,5 +142,6 @@ def ablation(rows: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 def filter_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The rows that a policy keeps, with their own columns only."""
     names = docs.columns
-    rows = verdicts(ledger(docs, "doc_id", "text", tuple(c for c in names if c != "doc_id")), policy)
-    return rows.where("kept").select(*names)
+    source = docs.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(names)])
+    rows = _measured(source, f"__c{names.index('text')}").withColumn("fail_bits", failure_bits())
+    return verdicts(rows, policy).where("kept").select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)])
