@@ -135,3 +135,26 @@ def first_separator_split(c: Column, separators: list[str]) -> Column:
         parts = F.filter(F.transform(F.split(c, "\\Q" + s + "\\E"), F.trim), lambda x: x != "")
         out = F.when(F.instr(c, s) > 0, parts).otherwise(out)
     return out
+
+
+#: Portuguese words that carry no content, folded.
+STOPWORDS = "a ao aos as ate com como da das de dele do dos e ela ele em entre era essa esse esta este eu foi ha isso ja la lhe mais mas me mesmo na nao nas nem no nos o os ou para pela pelo por qual quando que quem se sem ser seu sua tambem te tem um uma voce".split()
+#: Endings that the light stemmer takes off, the first that fits and leaves three letters.
+ENDINGS = "amentos|imentos|amento|imento|adoras|adores|acoes|idades|ismos|istas|mente|idade|acao|ador|avel|ivel|oes|aes|ais|eis|ois|is|es|as|os|a|o|e|s"
+
+
+def portuguese_terms(c: Column) -> Column:
+    """Folded words without stopwords, cut to light stems: an analyser for the lexical branch of search."""
+    words = F.regexp_extract_all(F.lower(fold(c)), F.lit(r"([a-z0-9]+)"), F.lit(1))
+    kept = F.filter(words, lambda w: ~w.isin(STOPWORDS))
+    return F.transform(kept, lambda w: F.regexp_replace(w, f"^(\\w{{3,}}?)(?:{ENDINGS})$", "$1"))
+
+
+def recollect_from(last: Column, today: Column, days: int = 10) -> Column:
+    """First day of an incremental window: some days before the last one seen, and never after today."""
+    return F.date_sub(F.least(last, today), days)
+
+
+def with_path(payload: Column, path: list[str], value: Column) -> Column:
+    """A typed payload (struct) with one field set by path."""
+    return payload.withField(".".join(path), value)

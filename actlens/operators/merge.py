@@ -83,6 +83,39 @@ def change_log(before: DataFrame, after: DataFrame, keys: list[str], fields: lis
     return out.select(*keys, "c.*").where(~F.col("antes").eqNullSafe(F.col("depois")))
 
 
+def unchanged_since(target: DataFrame, seen: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """Rows of ``seen`` (keys, sha256) whose body in the target is still the one that was read; others must not be written."""
+    now = target.select(*keys, F.sha2(F.col(body), 256).alias("__now"))
+    return seen.join(now, keys).where(F.col("sha256") == F.col("__now")).drop("__now")
+
+
+def create_or_complete(acts: DataFrame, rows: DataFrame, natural: list[str], issuer: str = "emissor") -> DataFrame:
+    """Acts after new rows: filled where they had nothing, created where they were missing.
+
+    Rows are matched by ``id_portal``. A held act takes the new issuer only if no other act already has the natural
+    key that it would get.
+    """
+    values = [c for c in rows.columns if c != "id_portal"]
+    new = rows.dropDuplicates(["id_portal"]).select("id_portal", *[F.col(c).alias(f"__n_{c}") for c in values])
+    both = acts.join(new, "id_portal", "left")
+    taken = acts.select(*[F.col(c).alias(f"__t_{c}") for c in natural], F.col("id").alias("__t_id"))
+    wanted = {c: F.col(f"__n_{c}") if c == issuer and c in values else F.col(c) for c in natural}
+    clash = reduce(lambda a, b: a & b, [wanted[c] == F.col(f"__t_{c}") for c in natural]) & (F.col("id") != F.col("__t_id"))
+    free = both.join(taken, clash, "left_anti").select("id").withColumn("__free", F.lit(True))
+    full = both.join(free, "id", "left")
+    out = []
+    for c in acts.columns:
+        if c == issuer and c in values:
+            value = F.when(F.col("__free") & F.col(f"__n_{c}").isNotNull(), F.col(f"__n_{c}")).otherwise(F.col(c))
+        else:
+            value = F.coalesce(F.col(c), F.col(f"__n_{c}")) if c in values else F.col(c)
+        out.append(value.alias(c))
+    known = acts.where("id_portal is not null").select("id_portal")
+    fresh = rows.dropDuplicates(["id_portal"]).join(known, "id_portal", "left_anti")
+    fresh = next_ids(fresh, acts, "id", ["id_portal"])
+    return full.select(*out).unionByName(fresh, allowMissingColumns=True).select(*acts.columns)
+
+
 def next_ids(rows: DataFrame, target: DataFrame, key: str, order: list[str]) -> DataFrame:
     """New rows with ids after the target's largest, in a stated order; the batch is numbered in one task."""
     from pyspark.sql import Window

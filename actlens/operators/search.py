@@ -6,6 +6,7 @@ no global sort and no unbounded window is needed; positions are numbered over th
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,12 +47,14 @@ def numbered(rows: DataFrame, score: Column, key: str, pool: int) -> DataFrame:
     return best.withColumn("pos", F.row_number().over(Window.orderBy(F.col("__s").desc(), F.col(key)))).drop("__s")
 
 
-def lexical(rows: DataFrame, terms: list[str], key: str, body: str, pool: int) -> DataFrame:
+def lexical(rows: DataFrame, terms: list[str], key: str, body: str, pool: int, analyse: Callable[[Column], Column] = text.tokens) -> DataFrame:
     """(key, pos) of rows that hold all terms, by BM25; statistics are over all given rows.
 
+    ``analyse`` turns the body into terms, ``terms`` must be in its form.
+
     Term frequencies are counted inside each row, so that the only exchange is one row of sums.
     """
-    counted = rows.select(key, text.tokens(F.col(body)).alias("__t")).select(key, F.size("__t").alias("__n"), *[F.expr(f"size(filter(__t, x -> x = '{t}'))").alias(f"__f{i}") for i, t in enumerate(terms)])
+    counted = rows.select(key, analyse(F.col(body)).alias("__t")).select(key, F.size("__t").alias("__n"), *[F.expr(f"size(filter(__t, x -> x = '{t}'))").alias(f"__f{i}") for i, t in enumerate(terms)])
     stats = counted.agg(F.count("*").alias("__docs"), F.avg("__n").alias("__avg"), *[F.count_if(F.col(f"__f{i}") > 0).alias(f"__d{i}") for i in range(len(terms))])
     both = counted.where(reduce(lambda a, b: a & b, [F.col(f"__f{i}") > 0 for i in range(len(terms))])).join(F.broadcast(stats))  # one row
 

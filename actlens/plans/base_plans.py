@@ -7,9 +7,13 @@ import tempfile
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from actlens.functions import text as X
 from actlens.functions.text import has_text
+from actlens.operators import merge as M
+from actlens.operators import queues as Q
 from actlens.operators import runs as N
-from actlens.plans.base import query, table
+from actlens.operators import search as S
+from actlens.plans.base import day, query, table
 from actlens.sources import portal, tables
 from actlens.streaming import stream
 
@@ -138,6 +142,48 @@ def first_match(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.min("l_orderkey").alias("primeiro"))
 
 
+@query("SELECT l_orderkey, CAST(least(max(CAST(l_shipdate AS DATE)), DATE '2000-06-30') - 10 AS DATE) AS desde FROM lineitem GROUP BY 1", ("desde",))
+def incremental_window(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max(day("l_shipdate")).alias("u"))
+    return l.select("l_orderkey", X.recollect_from(F.col("u"), F.lit("2000-06-30").cast("date")).alias("desde"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, user_id AS dono, event_type AS tipo FROM events")
+def json_set(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("p", F.from_json("props", "k long, meta struct<dono:long>"))
+    e = e.withColumn("p", X.with_path(F.col("p").withField("meta", F.struct(F.lit(0).cast("long").alias("dono"))), ["meta", "dono"], F.col("user_id")).withField("tipo", F.col("event_type")))
+    return e.select("event_id", "p.k", F.col("p.meta.dono").alias("dono"), "p.tipo")
+
+
+@query("SELECT doc_id, true AS lido FROM documents WHERE doc_id % 3 <> 0")
+def optimistic_check(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    seen = d.select("doc_id", F.sha2(F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")), 256).alias("sha256"))
+    return M.unchanged_since(d, seen, ["doc_id"], "text").select("doc_id", F.lit(True).alias("lido"))
+
+
+@query("""WITH k AS (SELECT DISTINCT o_custkey % 500 AS c, o_orderpriority AS p FROM orders) SELECT count(*) AS pedidos FROM k WHERE NOT (c < 250 AND p LIKE '1%')""")
+def unanswered_requests(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 500).alias("c"), F.col("o_orderpriority").alias("p")).withColumn("chave", Q.request_key("c", "p"))
+    return Q.unanswered(o, o.where("c < 250 and p like '1%'").select("chave")).agg(F.count("*").alias("pedidos"))
+
+
+@query("""SELECT c_custkey AS id, c_custkey AS id_portal, CASE WHEN c_custkey % 4 = 0 THEN 'NOVO' || c_custkey ELSE 'E' || c_nationkey END AS emissor, CASE WHEN c_custkey % 2 = 0 THEN coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_name END, 'novo') WHEN c_custkey % 3 = 0 THEN c_name END AS ementa FROM customer""")
+def create_or_complete(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    acts = c.select(k.alias("id"), k.alias("id_portal"), F.concat(F.lit("E"), F.col("c_nationkey").cast("string")).alias("emissor"), F.when(k % 3 == 0, F.col("c_name")).alias("ementa"))
+    rows = c.where("c_custkey % 2 = 0").select(k.alias("id_portal"), F.when(k % 4 == 0, F.concat(F.lit("NOVO"), k.cast("string"))).otherwise(F.concat(F.lit("E"), F.col("c_nationkey").cast("string"))).alias("emissor"), F.lit("novo").alias("ementa"))
+    return M.create_or_complete(acts, rows, ["emissor"])
+
+
+@query()
+def portuguese_search(spark, sf_dir):
+    """The lexical branch with the light Portuguese analyser."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    return S.lexical(d, ["the", "from"], "id", "body", 20, X.portuguese_terms)
+
+
 # --- parity and runs
 
 
