@@ -339,6 +339,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     partners = scratch.put(across(left.join(keyed, "doc_id"), percent))
     links = links.unionAll(confirmed_blocks(scratch, partners, members, docs, shingle, percent))
     found = components(scratch, links)
+    scratch.drop(shared, same, stars, named_buckets, left, members, partners)
     out = sigs.select("doc_id", "n_shingles").join(found.toDF("doc_id", "component_id"), "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

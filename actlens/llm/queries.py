@@ -84,9 +84,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits")
 
 
+OP10_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+r AS (SELECT doc_id, i FROM p QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(0, 5) x(k) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT x) AS d FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(l.d, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+    (length(t) - length(replace(t, '!!', ''))) // 2 AS n_bangs, len(list_distinct(ws)) AS n_distinct
+  FROM w LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)),
+b AS (
+  SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT + 16 * (10 * n_upper > 4 * word_chars)::BIGINT
+    + 32 * (10 * n_bangs > n_words)::BIGINT + 64 * (word_chars > 20 * n_words)::BIGINT + 128 * (n_words >= 50 AND 20 * n_distinct < n_words)::BIGINT AS fail_bits
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits & 127 = 0 AS kept, fail_bits FROM b
+"""
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_secret_scan, op2_minhash_near_dedup, op3_bpe, op4_benchmark_decontamination, op5_html_text, op6_language_id, op7_token_counts, op8_token_output, op9_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_near_dedup": OP2_SQL}
+    return {"op2_minhash_near_dedup": OP2_SQL, "op10_quality_rules": OP10_SQL}
