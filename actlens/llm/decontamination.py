@@ -44,7 +44,8 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+    """Words between ASCII white space, all letters in lower case."""
+    return text.lower().encode().split()
 
 
 class Terms(dict):
