@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actlens.llm.common import BATCH_ROWS, arrow_map, column_of, ship, texts_of
+from actlens.llm.common import BATCH_ROWS, Scratch, arrow_map, column_of, ship, texts_of
 
 SEGMENT = 32
 #: Benchmark items longer than this are cut into passages of this many words.
@@ -282,5 +282,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows in which no benchmark item is found, with their own columns."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct()
+    # written first, so that the join knows its size and need not shuffle the documents
+    found = Scratch(docs.sparkSession, "leaks").put(contaminated(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct())
     return docs.join(found, docs["doc_id"] == F.col("__hit"), "left_anti").select(*docs.columns)

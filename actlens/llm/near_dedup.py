@@ -156,11 +156,11 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
     return arrow_map(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
 
 
-def only(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The ``rows`` whose key is among ``ids`` (one column), and a few others: a filter ahead of a shuffle.
+def marked(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``__hit``: false only where the key is not among ``ids`` (one column).
 
-    A bitmap of hashed ids, of a size fixed by their number and 8 MB at most, is joined by broadcast; when it is too
-    small for the ids it lets more rows through, which the joins that follow drop.
+    A bitmap of hashed ids, of a size fixed by their number and 8 MB at most, is joined by broadcast. When it is too
+    small for the ids more rows are hit, which costs a later join work but changes nothing.
     """
     n = ids.count()
     size = 1 << min(26, max(15, (32 * max(1, n)).bit_length()))
@@ -169,7 +169,19 @@ def only(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     maps = ends.groupBy(F.expr("p div 32768").alias("__part")).agg(F.expr("bitmap_construct_agg(p % 32768)").alias("__map"))
     placed = rows.withColumn("__id", F.col(key)).withColumn("__p", place).withColumn("__part", F.expr("__p div 32768"))
     bit = F.expr("shiftright(cast(conv(hex(substring(__map, cast((__p % 32768) div 8 as int) + 1, 1)), 16, 10) as int), cast(__p % 8 as int)) & 1")
-    return placed.join(F.broadcast(maps), "__part").where(bit == 1).select(*rows.columns)
+    return placed.join(F.broadcast(maps), "__part", "left").select(*rows.columns, F.coalesce(bit == 1, F.lit(False)).alias("__hit"))
+
+
+def only(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose key is among ``ids``, and a few others: a filter ahead of a shuffle."""
+    return marked(rows, key, ids).where("__hit").drop("__hit")
+
+
+def without(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose key is not among ``ids``; only rows that the bitmap hits are shuffled."""
+    flagged = marked(rows, key, ids)
+    unsure = flagged.where("__hit").drop("__hit").join(ids.toDF("__gone"), F.col(key) == F.col("__gone"), "left_anti")
+    return flagged.where("not __hit").drop("__hit").unionAll(unsure)
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
@@ -347,5 +359,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` (with doc_id and text) that near-duplicate detection keeps, with their own columns."""
-    found = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs["doc_id"] == F.col("__gone"), "left_anti").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "gone")
+    gone = scratch.put(near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    return without(docs, "doc_id", gone).select(*docs.columns)
