@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,10 +139,14 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
     size = (2 if end < 1 << 16 else 4) * length
 
     def place():
+        pack = zstandard.ZstdCompressor(level=3).compress  # ids hold little per byte: less to shuffle
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             starts = np.array([before[p] for p in column_of(batch, "part").to_pylist()], np.int64)
             slots = feistel(starts + column_of(batch, "place").to_numpy(zero_copy_only=False), n, key)
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(slots), pa.array(slots // per_shard)], [*batch.schema.names, "slot", "shard"])
+            packed = pa.array([pack(x) for x in column_of(batch, "payload").to_pylist()], pa.binary())
+            columns = [packed if name == "payload" else column_of(batch, name) for name in batch.schema.names]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(slots), pa.array(slots // per_shard)], [*batch.schema.names, "slot", "shard"])
 
         return step
 
@@ -158,12 +163,16 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
 
         system, base = fs.FileSystem.from_uri(target)
         system.create_dir(base, recursive=True)
+        unpack = zstandard.ZstdDecompressor().decompress
         out, now, name = None, None, ""
 
         def done() -> None:
             if out is not None:
                 out.close()
-                system.move(name, f"{base}/shard-{now:06d}.bin")
+                final = f"{base}/shard-{now:06d}.bin"
+                if system.get_file_info(final).type != fs.FileType.NotFound:
+                    system.delete_file(final)  # a repeated task writes the same bytes
+                system.move(name, final)
 
         for batch in batches:
             hashes = []
@@ -172,6 +181,7 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
                     done()
                     now, name = shard, f"{base}/.shard-{shard:06d}-{uuid.uuid4().hex}"
                     out = system.open_output_stream(name)
+                payload = unpack(payload)
                 out.write(payload)
                 hashes.append(hashlib.sha256(payload).hexdigest())
             slots = column_of(batch, "slot").to_numpy(zero_copy_only=False)
