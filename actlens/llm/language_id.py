@@ -57,6 +57,16 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(4)) == 2
 
 
+def codes_of(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def trigram_codes(points: np.ndarray) -> np.ndarray:
+    """One number for each three code points in a row."""
+    return (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+
+
 class Model:
     """Trigram log probabilities and scripts of the languages learned."""
 
@@ -68,25 +78,45 @@ class Model:
         for language, gram, n in counts:
             table[gram][at[language]] = n
             totals[at[language]] += n
-        floor = np.log(0.5 / (totals + len(table)))
-        #: trigram -> row of ``logs``; row 0 is that of unknown trigrams.
-        self.grams = {g: k + 1 for k, g in enumerate(table)}
-        self.logs = np.array([floor, *[np.log((c + 0.5) / (totals + len(table))) for c in table.values()]])
+        keys = {int(trigram_codes(codes_of(g))[0]): g for g in table if len(g) == 3}
+        self.codes = np.array(sorted(keys), np.uint64)
+        rows = [np.log((table[keys[int(k)]] + 0.5) / (totals + len(table))) for k in self.codes]
+        #: one row for each trigram code, then that of unknown trigrams, then one that adds nothing
+        self.logs = np.array([*rows, np.log(0.5 / (totals + len(table))), np.zeros(len(at))]).reshape(-1, len(at))
         letters: dict[str, Counter] = defaultdict(Counter)
         for language, script, n in scripts:
             letters[language][script] += n
-        self.seen = {s: np.array([letters[x][s] >= 0.01 * sum(letters[x].values()) and letters[x][s] > 0 for x in self.languages]) for _, _, s in SCRIPTS}
-
-    def scores(self, word: str) -> np.ndarray:
-        """Log probabilities relative to the best language, no lower than -CLIP; languages of another script are lowest."""
-        if not self.languages:
-            return np.zeros(0)
-        known = self.grams.get
-        total = np.add.reduce(self.logs[[known(gram, 0) for gram in trigrams(word)]], 0)
-        seen = self.seen.get(script_of(word[0]))
-        if seen is not None and seen.any():
-            total = np.where(seen, total, -np.inf)
-        return np.maximum(total - total.max(), -CLIP)
+        names = [*dict.fromkeys(x for _, _, x in SCRIPTS), "other"]
+        self.script = np.full(0x110000 >> 4, len(names) - 1, np.uint8)
+        for first, last, name in SCRIPTS:
+            self.script[first >> 4 : (last >> 4) + 1] = names.index(name)
+        seen = [[letters[x][s] > 0 and letters[x][s] >= 0.01 * sum(letters[x].values()) for x in self.languages] for s in names[:-1]]
+        #: languages that a script leaves; one that none was seen in leaves all
+        self.seen = np.array([r if any(r) else [True] * len(at) for r in [*seen, [False] * len(at)]], bool).reshape(-1, len(at))
+
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word its log probabilities relative to the best language, no lower than -CLIP, and its letters.
+
+        Languages of another script are lowest. A word may hold several letter runs, and one without letters
+        scores alike in all languages.
+        """
+        runs = [LETTERS.findall(w.lower()) for w in words]
+        letters = np.array([sum(map(len, r)) for r in runs], np.float64)
+        out = np.zeros((len(words), len(self.languages)), np.float32)
+        full = np.flatnonzero(letters)
+        if not len(full) or not self.languages:
+            return out, letters
+        padded = [f" {' '.join(runs[k])} " for k in full]
+        points = codes_of("".join(padded))
+        codes = trigram_codes(points)
+        place = np.searchsorted(self.codes, codes)
+        place[self.codes[np.minimum(place, len(self.codes) - 1)] != codes] = len(self.codes)
+        place[points[1:-1] == 32] = len(self.codes) + 1  # no trigram reaches over a word's end
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in padded])[:-1]])
+        total = np.add.reduceat(self.logs[place], starts, axis=0)
+        total = np.where(self.seen[self.script[points[starts + 1].astype(np.int64) >> 4]], total, -np.inf)
+        out[full] = np.maximum(total - total.max(1, keepdims=True), -CLIP)
+        return out, letters
 
 
 class Labeller:
@@ -96,20 +126,22 @@ class Labeller:
         self.model, self.penalty = model, penalty
         self.places: dict[str, int] = {}
         self.table = np.zeros((1024, max(1, len(model.languages))), np.float32)
-
-    def word_scores(self, words: list[str]) -> np.ndarray:
-        places, out = self.places, []
-        if len(places) > MEMO:
-            places.clear()
-        for w in words:
-            k = places.get(w)
-            if k is None:
-                k = places[w] = len(places)
-                if k >= len(self.table):
-                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.table[k] = self.model.scores(w)
-            out.append(k)
-        return self.table[out]
+        self.letters = np.zeros(1024)
+
+    def learn_words(self, words: set[str]) -> None:
+        """Scores all words that are not remembered, at once."""
+        new = list(words.difference(self.places))
+        if len(self.places) + len(new) > MEMO:
+            self.places.clear()
+            new = list(words)
+        if not new:
+            return
+        first = len(self.places)
+        while first + len(new) > len(self.table):
+            self.table, self.letters = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.letters, np.zeros_like(self.letters)])
+        if self.model.languages:
+            self.table[first : first + len(new)], self.letters[first : first + len(new)] = self.model.scores(new)
+        self.places.update(zip(new, range(first, first + len(new)), strict=True))
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The index of each word's language on the best path."""
@@ -142,18 +174,27 @@ class Labeller:
         found = list(LETTERS.finditer(text))
         if not found or not self.model.languages:
             return []
-        path = self.path(self.word_scores([m[0].lower() for m in found]))
+        self.learn_words({m[0] for m in found})
+        path = self.path(self.table[[self.places[m[0]] for m in found]])
         cuts = [0, *(np.nonzero(np.diff(path))[0] + 1).tolist(), len(found)]
         return [(found[a].start(), found[b - 1].end(), self.model.languages[path[a]]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def predict(self, text: str) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower())
-        if not words or not self.model.languages:
-            return "und", 0.0
-        path = self.path(self.word_scores(words))
-        letters = np.bincount(path, np.fromiter(map(len, words), np.float64, len(words)), len(self.model.languages))
-        best = int(letters.argmax())
-        return self.model.languages[best], float(letters[best] / letters.sum())
+    def predict(self, texts: list[str]) -> list[tuple[str, float]]:
+        """(language, share of letters) of whole texts; a word is what stands between white space."""
+        lists = [t.split() for t in texts]
+        self.learn_words(set().union(*lists))
+        place, out = self.places.__getitem__, []
+        for words in lists:
+            at = np.fromiter(map(place, words), np.int64, len(words))
+            letters = self.letters[at]
+            whole = letters.sum()
+            if not whole:
+                out.append(("und", 0.0))
+                continue
+            shares = np.bincount(self.path(self.table[at]), letters, len(self.model.languages))
+            best = int(shares.argmax())
+            out.append((self.model.languages[best], float(shares[best] / whole)))
+        return out
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> Model:
@@ -198,7 +239,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         labeller = Labeller(model, penalty)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [labeller.predict(t) for t in texts_of(batch, "__text")]
+            found = labeller.predict(texts_of(batch, "__text"))
             return pa.RecordBatch.from_arrays([column_of(batch, "__id"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["__id", "lang_pred", "score"])
 
         return step
