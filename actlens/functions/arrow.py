@@ -30,19 +30,25 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
-    """``mapInArrow`` with state made once a task: ``make()`` returns the function for one batch."""
+    """``mapInArrow`` with state made once a task: ``make()`` returns the function for one batch.
+
+    If that function has an attribute ``close``, it is called at the task's end, to free what a worker process keeps.
+    """
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = None
-        for batch in batches:
-            step = step or make()
-            out = step(batch)
-            if isinstance(out, pa.Table):
-                yield from out.to_batches()
-            else:
-                yield out
+        try:
+            for batch in batches:
+                step = step or make()
+                out = step(batch)
+                if isinstance(out, pa.Table):
+                    yield from out.to_batches()
+                else:
+                    yield out
+        finally:
+            getattr(step, "close", int)()
 
     return df.mapInArrow(run, schema)
 
