@@ -29,7 +29,7 @@ from actlens.llm.common import arrow_map, column_of, texts_of
 
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of a worker's memo of encoded words; it is emptied when full, so that memory stays bounded.
-MEMO = 400_000
+MEMO = 300_000
 #: Longer chunks are not remembered.
 MEMO_CHARS = 64
 
@@ -139,7 +139,7 @@ class Vocabulary:
                 else:
                     fit = fits.get(last << 32 | token)
                     if fit is None:
-                        if len(fits) > 4 * MEMO:
+                        if len(fits) > MEMO:
                             fits.clear()
                         fit = fits[last << 32 | token] = self._compatible(last, token)
             if fit:
@@ -156,6 +156,12 @@ class Vocabulary:
                 last = tokens[-1] if tokens else -1
                 token = shorter[token]
 
+    def forget(self) -> None:
+        """Empties the memos, so that an idle worker process holds the vocabulary only."""
+        self.memo.clear()
+        self.pieces.clear()
+        self.fits.clear()
+
     def piece(self, piece: str) -> tuple[int, ...]:
         known = self.pieces.get(piece)
         if known is None:
@@ -253,6 +259,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
             return pa.RecordBatch.from_arrays([column_of(batch, "__id"), pa.array(sizes), lists], ["__id", "n_tokens", "token_ids"])
 
+        step.close = v.forget
         return step
 
     out = arrow_map(source, make, f"__id {dict(source.dtypes)['__id']}, n_tokens long, token_ids array<int>")
@@ -298,6 +305,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             return pa.RecordBatch.from_arrays([column_of(batch, "__id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["__id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+        step.close = v.forget
         return step
 
     out = arrow_map(source, make, f"__id {dict(source.dtypes)['__id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")

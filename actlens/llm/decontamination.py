@@ -38,7 +38,7 @@ COMMON = 0.1
 #: Of the cosine that a full copy inside a window would have, the share that makes a candidate.
 COSINE = 0.5
 COVERED, SURE, ANSWERED = 0.6, 0.85, 0.6
-MEMO = 400_000
+MEMO = 250_000
 EDGES = b".,;:!?\"'()[]"
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 

@@ -37,7 +37,7 @@ MISS = 1e-5
 BLOCK = 1024
 #: Documents of a component whose texts are confirmed together.
 TEXTS = 256
-MEMO = 400_000
+MEMO = 250_000
 _draw = np.random.default_rng(20240607)
 XORS = _draw.integers(0, 1 << 32, HASHES, np.uint32)
 ODDS = _draw.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)

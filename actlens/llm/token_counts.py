@@ -104,6 +104,7 @@ def section_counts(docs: DataFrame, rule: str = "largest", id_col: str = "doc_id
             types = (np.int64, np.int64, np.int64, np.float64, np.int64)
             return pa.RecordBatch.from_arrays([column_of(batch, "__id").take(pa.array(index)), *[pa.array(c.astype(t)) for c, t in zip(flat, types, strict=True)]], ["__id", "section", "start", "end", "n_tokens", "doc_tokens"])
 
+        step.close = v.forget
         return step
 
     out = arrow_map(source, make, f"__id {dict(source.dtypes)['__id']}, section long, start long, end long, n_tokens double, doc_tokens long")
