@@ -7,8 +7,9 @@ passages apart but lie in directions of small variance in the corpus, so that th
 and not from the corpus. A candidate is confirmed if the longest common subsequence covers enough of the passage's
 words and, for a paraphrase, if the passage's answer (its last sentence) is found too.
 
-The benchmark is handled in blocks of ``BLOCK_ITEMS`` passages, which bounds what goes to the driver and the tasks;
-each block is set against all rows.
+The benchmark is handled in groups of about ``GROUP`` passages, which bounds what goes to the driver and the tasks;
+each group is set against all rows. Inside a group every ``RANK`` passages have a basis of their own, so that a basis
+keeps every direction of its passages and a copy scores the same in a benchmark of any size.
 
 Defined cases: null and empty texts match nothing, as do benchmark items without words; documents are read whole;
 of several windows for one item the best is reported, ties going to the first; repeated rows are reported each; other
@@ -31,7 +32,8 @@ from actlens.llm.common import BATCH_ROWS, Scratch, arrow_map, column_of, ship,
 SEGMENT = 32
 #: Benchmark items longer than this are cut into passages of this many words.
 PASSAGE = 96
-BLOCK_ITEMS = 1000
+#: Passages of one pass over the rows (items are kept whole), and passages of one basis: all its directions are kept.
+GROUP = 1000
 RANK, OVERSAMPLE = 256, 16
 #: Terms in more than this share of all segments weigh nothing.
 COMMON = 0.1
@@ -179,18 +181,22 @@ def masks_of(pattern: list[int]) -> dict[int, int]:
 
 
 class Searcher:
-    """A block of benchmark passages, ready to be looked for in documents."""
+    """A group of benchmark passages, ready to be looked for in documents; each block has (first, end, terms, factors)."""
 
-    def __init__(self, vocabulary: dict[bytes, int], found: list[tuple[int, np.ndarray, list[int]]], idf: np.ndarray, factors: np.ndarray) -> None:
+    def __init__(self, vocabulary: dict[bytes, int], found: list[tuple[int, np.ndarray, list[int]]], idf: np.ndarray, blocks: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
         self.terms, self.idf = Terms(vocabulary), idf
-        self.factors = factors * idf[:, None].astype(np.float32)
         self.items = [f[0] for f in found]
         self.patterns = [(masks_of(f[1].tolist()), len(f[1]), masks_of(f[2]), len(f[2])) for f in found]
-        queries = np.array([self.factors[f[1]].sum(0) for f in found], np.float32)
         self.norms = np.array([math.sqrt(float((np.bincount(f[1], minlength=len(idf)) ** 2 * idf**2).sum())) or 1.0 for f in found])
-        self.queries = (queries / self.norms[:, None]).astype(np.float32)
         self.other = float(np.mean(idf[idf > 0] ** 2)) if (idf > 0).any() else 1.0
         self.least = COSINE * np.sqrt(np.minimum(1.0, np.array([f[1].size for f in found]) / (2.0 * SEGMENT)))
+        self.blocks = []
+        for first, end, held, factors in blocks:
+            row = np.full(len(idf), -1, np.int64)
+            row[held] = np.where(idf[held] > 0, np.arange(len(held)), -1)
+            weighed = factors * idf[held, None].astype(np.float32)
+            queries = np.array([weighed[row[f[1][idf[f[1]] > 0]]].sum(0) for f in found[first:end]], np.float32)
+            self.blocks.append((first, end, row, weighed, (queries / self.norms[first:end, None]).astype(np.float32)))
 
     def find(self, text: str) -> list[tuple[int, float, float, float]]:
         """(item, cosine, share of its words in order, share of its answer) of each passage confirmed in a text."""
@@ -204,37 +210,44 @@ class Searcher:
         weighed = known[self.idf[ids[known]] > 0]
         if not len(weighed):
             return []
-        at = weighed // SEGMENT
-        cuts = np.flatnonzero(np.diff(at, prepend=-1))
-        sums = np.zeros((segments + 1, self.factors.shape[1]), np.float32)
-        sums[at[cuts]] = np.add.reduceat(self.factors[ids[weighed]], cuts, axis=0)
         outside = np.bincount(np.flatnonzero(ids < 0) // SEGMENT, minlength=segments + 1) * self.other
         inside = np.zeros(segments + 1)
-        terms, places = ids[weighed], at
+        terms, places = ids[weighed], weighed // SEGMENT
         pair, tf = np.unique(places.astype(np.int64) * len(self.idf) + terms, return_counts=True)
         np.add.at(inside, pair // len(self.idf), (tf * self.idf[pair % len(self.idf)]) ** 2)
-        latent = sums[:-1] + sums[1:]
         size = np.sqrt(inside[:-1] + inside[1:] + outside[:-1] + outside[1:])
-        reach = np.sqrt((latent**2).sum(1))
-        worth = np.flatnonzero(reach >= self.least.min() * size)
-        if not len(worth):
-            return []
-        cosines = (latent[worth] @ self.queries.T) / size[worth, None]
         best: dict[int, tuple[float, float, float]] = {}
         sequence = ids.tolist()
-        for w, p in zip(*np.nonzero(cosines >= self.least), strict=True):
-            masks, length, answer, answer_length = self.patterns[p]
-            start = int(worth[w]) * SEGMENT
-            region = sequence[max(0, start - length // 2) : start + 2 * SEGMENT + length // 2]
-            share = common_subsequence(masks, length, region) / length
-            if share < COVERED:
-                continue
-            answered = common_subsequence(answer, answer_length, region) / answer_length if answer_length else 1.0
-            if share < SURE and answered < ANSWERED:
+        for first, end, row, factors, queries in self.blocks:
+            rows, at = row[terms], places
+            if len(self.blocks) > 1:
+                here = rows >= 0
+                rows, at = rows[here], places[here]
+                if not len(rows):
+                    continue
+            cuts = np.flatnonzero(np.diff(at, prepend=-1))
+            sums = np.zeros((segments + 1, factors.shape[1]), np.float32)
+            sums[at[cuts]] = np.add.reduceat(factors[rows], cuts, axis=0)
+            latent = sums[:-1] + sums[1:]
+            least = self.least[first:end]
+            reach = np.sqrt((latent**2).sum(1))
+            worth = np.flatnonzero(reach >= least.min() * size)
+            if not len(worth):
                 continue
-            item, value = self.items[p], (share, answered, min(1.0, float(cosines[w, p])))
-            if item not in best or value > best[item]:
-                best[item] = value
+            cosines = (latent[worth] @ queries.T) / np.maximum(size[worth, None], 1e-12)
+            for w, p in zip(*np.nonzero(cosines >= least), strict=True):
+                masks, length, answer, answer_length = self.patterns[first + p]
+                start = int(worth[w]) * SEGMENT
+                region = sequence[max(0, start - length // 2) : start + 2 * SEGMENT + length // 2]
+                share = common_subsequence(masks, length, region) / length
+                if share < COVERED:
+                    continue
+                answered = common_subsequence(answer, answer_length, region) / answer_length if answer_length else 1.0
+                if share < SURE and answered < ANSWERED:
+                    continue
+                item, value = self.items[first + p], (share, answered, min(1.0, float(cosines[w, p])))
+                if item not in best or value > best[item]:
+                    best[item] = value
         return [(item, v[2], v[0], v[1]) for item, v in sorted(best.items())]
 
 
@@ -254,10 +267,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         numbered = [(i, np.array([vocabulary[w] for w in words], np.int64), [vocabulary[w] for w in answer]) for i, words, answer in found]
         frequencies, n = document_frequencies(source, vocabulary)
         idf = weights(frequencies, n)
-        factors = basis(spark, [x[1] for x in numbered], idf)
+        blocks = []
+        for first in range(0, len(numbered), RANK):
+            part = [x[1] for x in numbered[first : first + RANK]]
+            held = np.unique(np.concatenate(part))
+            blocks.append((first, first + len(part), held, basis(spark, [np.searchsorted(held, x) for x in part], idf[held])))
 
         def make():
-            searcher = Searcher(vocabulary, numbered, idf, factors)
+            searcher = Searcher(vocabulary, numbered, idf, blocks)
 
             def step(batch: pa.RecordBatch) -> pa.RecordBatch:
                 rows = [(k, *hit) for k, text in enumerate(texts_of(batch, "text")) for hit in searcher.find(text)]
@@ -269,12 +286,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return arrow_map(source, make, schema)
 
     wanted = benchmark.select(F.col(item_col).cast("long"), F.col(item_text).cast("string")).where(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).orderBy(item_col, item_text)
+    held = 0
     for row in wanted.toLocalIterator():
         block.append((row[0], row[1]))
-        if len(block) == BLOCK_ITEMS:
+        held += max(1, len(passages(block[-1:])))
+        if held >= GROUP:
             if (hits := search(block)) is not None:
                 out = out.unionAll(hits)
-            block = []
+            block, held = [], 0
     if block and (hits := search(block)) is not None:
         out = out.unionAll(hits)
     return out.withColumnRenamed("doc_id", id_col)

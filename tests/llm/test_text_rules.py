@@ -235,6 +235,22 @@ def test_decontamination_finds_copies_and_paraphrases(spark):
     assert D.contaminated(docs, bench.limit(0)).count() == 0 and D.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_copies_are_found_in_a_large_benchmark(spark):
+    draw = random.Random(11)
+    words = [f"term{k}" for k in range(6000)]
+    items = [(k, " ".join(draw.choice(words) for _ in range(50))) for k in range(1000)]
+    rows = []
+    for d in range(1000):
+        w = [draw.choice(words) for _ in range(60)]
+        at = draw.randint(0, 60)
+        w[at:at] = items[d][1].split()
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()}
+    assert found == {(d, d) for d in range(1000)}
+
+
 def test_basis_spans_small_matrices(spark):
     import numpy as np
 
