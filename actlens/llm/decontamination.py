@@ -35,9 +35,7 @@ PASSAGE = 96
 #: Passages of one pass over the rows (items are kept whole), and passages of one basis: all its directions are kept.
 GROUP = 1000
 RANK, OVERSAMPLE = 256, 16
-#: Terms in more than this share of all segments weigh nothing.
-COMMON = 0.1
-#: Of the cosine that a full copy inside a window would have, the share that makes a candidate.
+#: Of the cosine that a full copy inside a window would have, or of a passage's own weight, the share that makes a candidate.
 COSINE = 0.5
 COVERED, SURE, ANSWERED = 0.6, 0.85, 0.6
 MEMO = 250_000
@@ -109,9 +107,8 @@ def document_frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple
 
 
 def weights(frequencies: np.ndarray, n: int) -> np.ndarray:
-    """Inverse document frequencies; terms of more than a ``COMMON`` share weigh nothing."""
-    idf = np.log((1.0 + n) / (1.0 + frequencies))
-    return np.where(frequencies > COMMON * max(n, 1), 0.0, idf)
+    """Inverse document frequencies, smoothed so that a term of all segments still has weight."""
+    return np.log1p((1.0 + n) / (1.0 + frequencies))
 
 
 def basis(spark, rows: list[np.ndarray], idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
@@ -188,14 +185,16 @@ class Searcher:
         self.items = [f[0] for f in found]
         self.patterns = [(masks_of(f[1].tolist()), len(f[1]), masks_of(f[2]), len(f[2])) for f in found]
         self.norms = np.array([math.sqrt(float((np.bincount(f[1], minlength=len(idf)) ** 2 * idf**2).sum())) or 1.0 for f in found])
-        self.other = float(np.mean(idf[idf > 0] ** 2)) if (idf > 0).any() else 1.0
+        self.other = float(np.mean(idf**2))
         self.least = COSINE * np.sqrt(np.minimum(1.0, np.array([f[1].size for f in found]) / (2.0 * SEGMENT)))
+        #: a whole copy puts half its weight or more into one window, however heavy the words beside it are
+        self.enough = 0.999 * COSINE * self.norms
         self.blocks = []
         for first, end, held, factors in blocks:
             row = np.full(len(idf), -1, np.int64)
-            row[held] = np.where(idf[held] > 0, np.arange(len(held)), -1)
+            row[held] = np.arange(len(held))
             weighed = factors * idf[held, None].astype(np.float32)
-            queries = np.array([weighed[row[f[1][idf[f[1]] > 0]]].sum(0) for f in found[first:end]], np.float32)
+            queries = np.array([weighed[row[f[1]]].sum(0) for f in found[first:end]], np.float32)
             self.blocks.append((first, end, row, weighed, (queries / self.norms[first:end, None]).astype(np.float32)))
 
     def find(self, text: str) -> list[tuple[int, float, float, float]]:
@@ -207,12 +206,11 @@ class Searcher:
         ids = self.terms.of(words)
         segments = -(-n // SEGMENT)
         known = np.flatnonzero(ids >= 0)
-        weighed = known[self.idf[ids[known]] > 0]
-        if not len(weighed):
+        if not len(known):
             return []
         outside = np.bincount(np.flatnonzero(ids < 0) // SEGMENT, minlength=segments + 1) * self.other
         inside = np.zeros(segments + 1)
-        terms, places = ids[weighed], weighed // SEGMENT
+        terms, places = ids[known], known // SEGMENT
         pair, tf = np.unique(places.astype(np.int64) * len(self.idf) + terms, return_counts=True)
         np.add.at(inside, pair // len(self.idf), (tf * self.idf[pair % len(self.idf)]) ** 2)
         size = np.sqrt(inside[:-1] + inside[1:] + outside[:-1] + outside[1:])
@@ -229,13 +227,14 @@ class Searcher:
             sums = np.zeros((segments + 1, factors.shape[1]), np.float32)
             sums[at[cuts]] = np.add.reduceat(factors[rows], cuts, axis=0)
             latent = sums[:-1] + sums[1:]
-            least = self.least[first:end]
+            least, enough = self.least[first:end], self.enough[first:end]
             reach = np.sqrt((latent**2).sum(1))
-            worth = np.flatnonzero(reach >= least.min() * size)
+            worth = np.flatnonzero((reach >= least.min() * size) | (reach >= enough.min()))
             if not len(worth):
                 continue
-            cosines = (latent[worth] @ queries.T) / np.maximum(size[worth, None], 1e-12)
-            for w, p in zip(*np.nonzero(cosines >= least), strict=True):
+            dots = latent[worth] @ queries.T
+            cosines = dots / np.maximum(size[worth, None], 1e-12)
+            for w, p in zip(*np.nonzero((cosines >= least) | (dots >= enough)), strict=True):
                 masks, length, answer, answer_length = self.patterns[first + p]
                 start = int(worth[w]) * SEGMENT
                 region = sequence[max(0, start - length // 2) : start + 2 * SEGMENT + length // 2]

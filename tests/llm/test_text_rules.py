@@ -251,6 +251,24 @@ def test_copies_are_found_in_a_large_benchmark(spark):
     assert found == {(d, d) for d in range(1000)}
 
 
+def test_passages_of_frequent_words_are_found(spark):
+    draw = random.Random(12)
+    words = [f"term{k}" for k in range(3000)]
+    hot = " ".join(f"hot{k}" for k in range(36))
+    bench = spark.createDataFrame([(0, hot)] + [(k, " ".join(draw.choice(words) for _ in range(36))) for k in range(1, 20)], "item_id long, text string")
+    rows = []
+    for d in range(300):
+        w = [draw.choice(words) for _ in range(54)]
+        if d % 3 == 0:
+            at = draw.randint(0, 54)
+            w[at:at] = hot.split()
+        rows.append((d, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, bench).collect()} == {(d, 0) for d in range(0, 300, 3)}
+    one = D.contaminated(docs.where("doc_id = 0"), bench)
+    assert [(r["doc_id"], r["item_id"], r["lcs_share"]) for r in one.collect()] == [(0, 0, 1.0)]
+
+
 def test_basis_spans_small_matrices(spark):
     import numpy as np
 
