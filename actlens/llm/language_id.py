@@ -1,7 +1,7 @@
 """Language identification of mixed texts: script ranges, word scores and a Viterbi path.
 
 A word's script narrows the languages to those that were seen writing it; each of these scores the word by the
-log probabilities of its letter trigrams. A Viterbi path over the words of a text, with a penalty for each switch,
+log probabilities of its letter trigrams. A word is a run of letters of one script. A Viterbi path over the words of a text, with a penalty for each switch,
 labels spans of one language; the text's language is the one with most letters, and the score is its share.
 
 Where the best single language can't be beaten by any path (no stretch of words gains more over it than one switch
@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ PENALTY = 12.0
 CLIP = 8.0
 MEMO = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
+#: a letter that is not Latin
+BEYOND = re.compile(r"[^\W\d_\x41-\u024f\u1e00-\u1eff]")
 #: (first, last code point, script); what is in no range is "other".
 SCRIPTS = (
     (0x41, 0x24F, "latin"), (0x1E00, 0x1EFF, "latin"), (0x370, 0x3FF, "greek"), (0x1F00, 0x1FFF, "greek"), (0x400, 0x52F, "cyrillic"),
@@ -47,6 +50,14 @@ def script_of(letter: str) -> str:
     return next((s for a, b, s in SCRIPTS if a <= code <= b), "other")
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, cut where the script changes."""
+    found = LETTERS.findall(text)
+    if text.isascii() or not BEYOND.search(text):
+        return found
+    return ["".join(part) for run in found for _, part in groupby(run, script_of)]
+
+
 def trigrams(word: str) -> list[str]:
     padded = f" {word} "
     return [padded[k : k + 3] for k in range(len(padded) - 2)]
@@ -171,17 +182,21 @@ class Labeller:
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, language) of each run of words of one language, in code points."""
-        found = list(LETTERS.finditer(text))
-        if not found or not self.model.languages:
+        words = words_of(text)
+        if not words or not self.model.languages:
             return []
-        self.learn_words({m[0] for m in found})
-        path = self.path(self.table[[self.places[m[0]] for m in found]])
-        cuts = [0, *(np.nonzero(np.diff(path))[0] + 1).tolist(), len(found)]
-        return [(found[a].start(), found[b - 1].end(), self.model.languages[path[a]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        self.learn_words(set(words))
+        path = self.path(self.table[[self.places[w] for w in words]])
+        starts, at = [], 0
+        for w in words:
+            starts.append(text.index(w, at))
+            at = starts[-1] + len(w)
+        cuts = [0, *(np.nonzero(np.diff(path))[0] + 1).tolist(), len(words)]
+        return [(starts[a], starts[b - 1] + len(words[b - 1]), self.model.languages[path[a]]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
-        """(language, share of letters) of whole texts; a word is what stands between white space."""
-        lists = [t.split() for t in texts]
+        """(language, share of letters) of whole texts."""
+        lists = [words_of(t) for t in texts]
         self.learn_words(set().union(*lists))
         place, out = self.places.__getitem__, []
         for words in lists:
@@ -214,7 +229,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> Mode
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             grams: Counter = Counter()
             for language, text in zip(column_of(batch, "lang").to_pylist(), texts_of(batch, "text"), strict=True):
-                for word, n in Counter(LETTERS.findall(text.lower())).items():
+                for word, n in Counter(words_of(text.lower())).items():
                     for gram in trigrams(word):
                         grams[language, "g", gram] += n
                     grams[language, "s", script_of(word[0])] += n * len(word)

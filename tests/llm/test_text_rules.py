@@ -172,6 +172,20 @@ def test_language_spans_and_defaults(spark):
     assert empty.languages == [] and {r["lang_pred"] for r in L.identify(docs, empty).collect()} == {"und"}
 
 
+def test_predictions_equal_spans_on_unspaced_text():
+    counts = [("en", g, 50) for w in ("english", "text", "with", "this") for g in L.trigrams(w)] + [("fr", g, 50) for w in ("texte", "avec", "pour", "cette") for g in L.trigrams(w)] + [("zh", g, 50) for g in L.trigrams("这是中文")]
+    labeller = L.Labeller(L.Model(counts, [("en", "latin", 100), ("fr", "latin", 100), ("zh", "han", 100)]), 4.0)
+    texts = ["english,text;" * 3 + "avec,pour;cette," * 9, "with这是中文这是中文", "english这是中文text", "this.with/this-with;cette,avec;cette", "text 这是中文,中文", "avec,pour;cette," * 3 + "这是中文" * 20]
+    for text, (language, score) in zip(texts, labeller.predict(texts), strict=True):
+        letters = {}
+        for start, end, x in labeller.spans(text):
+            letters[x] = letters.get(x, 0) + sum(map(str.isalpha, text[start:end]))
+        best = min(letters, key=lambda x: (-letters[x], x))
+        assert (language, score) == (best, pytest.approx(letters[best] / sum(letters.values()))), text
+    assert [x[0] for x in labeller.predict(texts[:2])] == ["fr", "zh"]
+    assert [x[2] for x in labeller.spans("with这是中文")] == ["en", "zh"]
+
+
 def test_quick_path_equals_full_search():
     import numpy as np
 
