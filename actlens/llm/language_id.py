@@ -29,8 +29,8 @@ from actlens.llm.common import arrow_map, column_of, texts_of
 
 #: Labelled texts a language that are learned from, about; they are chosen by a hash of the id.
 SAMPLE = 1500
-#: Trigrams kept a language and languages learned, the most frequent ones: bounds of the model's size.
-TRIGRAMS, LANGUAGES = 20_000, 64
+#: Trigrams kept a language, the most frequent ones; every language is learned.
+TRIGRAMS = 20_000
 PENALTY = 12.0
 CLIP = 8.0
 MEMO = 400_000
@@ -216,14 +216,11 @@ def learn(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> Mode
     """A model from about ``sample`` labelled texts a language: all labels are counted, then texts are chosen by hash.
 
     ``docs`` has doc_id, text and the label; rows to learn from only. Counts are made on the workers and cut to
-    the most frequent trigrams before they are gathered, so that what comes to the driver has a fixed bound.
+    the most frequent trigrams before they are gathered, so that what comes to the driver is bounded a language.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    rate = F.lit(0.0)
-    for row in sizes:
-        rate = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, sample / row["count"]))).otherwise(rate)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < rate * 1_000_000).select("lang", "text")
+    rates = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("rate"))
+    chosen = rows.join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < F.col("rate") * 1_000_000).select("lang", "text")
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -158,6 +158,12 @@ def test_mined_rules_equal_brute_force(spark):
     assert found == want
 
 
+def test_every_language_is_learned(spark):
+    rows = [(k * 70 + j, f"word{chr(97 + k % 26)}{chr(97 + k // 26)} same", f"l{k:02}") for k in range(70) for j in range(2)]
+    model = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [f"l{k:02}" for k in range(70)]
+
+
 def test_language_spans_and_defaults(spark):
     counts = [("en", g, 50) for w in ("the", "and", "with", "this") for g in L.trigrams(w)] + [("fr", g, 50) for w in ("les", "avec", "pour", "cette") for g in L.trigrams(w)] + [("ru", g, 50) for g in L.trigrams("это")]
     model = L.Model(counts, [("en", "latin", 100), ("fr", "latin", 100), ("ru", "cyrillic", 100)])
