@@ -22,7 +22,6 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.2
-MAX_TOKENS = 24
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,7 +45,7 @@ def fixed_rule(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """The sorted token set of a URL. All tokens enter matching; a transaction for mining holds ``MAX_TOKENS`` at most."""
+    """The sorted token set of a URL. All tokens enter matching and mining."""
     labels = F.transform(F.split(host, r"\."), lambda x: F.concat(F.lit("h:"), x))
     parts = F.transform(F.split(F.regexp_replace(path, r"[0-9]+", "#"), r"[/.]"), lambda x: F.concat(F.lit("p:"), x))
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\?([^#]*)", 1)
@@ -54,11 +53,27 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.concat(labels, parts, keys), lambda x: F.length(x) > 2)))
 
 
+def written_out(rules: DataFrame, same: DataFrame) -> DataFrame:
+    """The rules with each token (``first``) replaced in turn by all tokens of the same rows (``all``)."""
+    plain = same.where("size(all) > 1")
+    width = rules.agg(F.max(F.size("tokens"))).first()[0] or 0
+    if plain.isEmpty():
+        return rules
+    out = rules
+    for k in range(1, width + 1):
+        one = F.get("tokens", F.lit(k - 1))
+        out = out.withColumn("first", one).join(plain, "first", "left")
+        choices = F.when(F.col("all").isNotNull(), F.col("all")).otherwise(F.array("first"))
+        out = out.withColumn("other", F.explode(choices)).withColumn("tokens", F.expr(f"transform(tokens, (x, i) -> if(i = {k - 1}, other, x))")).select(*rules.columns)
+    return out.withColumn("tokens", F.array_sort("tokens"))
+
+
 def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules (tokens, confidence, lift, support) that imply a block.
 
     ``urls`` has (page_id, tokens), ``labels`` (page_id, blocked boolean). Rarer tokens than the support can bear
-    are taken out first, so that no transaction is long.
+    are taken out first; a row left without any still counts. Tokens of the same rows are mined as one, and each
+    rule is written for all of them: rules that hold two of them say the same as a shorter rule.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -67,13 +82,18 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
     n = known.count()
     if not n:
         return urls.sparkSession.createDataFrame([], "tokens array<string>, confidence double, lift double, support double")
-    frequent = known.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") >= F.lit(min_support * n)).select("t")
-    seen = known.withColumn("__k", F.monotonically_increasing_id())
-    slim = seen.select("__k", F.explode("tokens").alias("t")).join(frequent, "t").groupBy("__k").agg(F.slice(F.sort_array(F.collect_set("t")), 1, MAX_TOKENS).alias("items"))
-    rows = scratch.put(seen.join(slim, "__k").select(F.when(F.col("blocked"), F.array_append("items", F.lit("y:block"))).otherwise(F.col("items")).alias("items")))
+    seen = scratch.put(known.withColumn("__k", F.monotonically_increasing_id()))
+    held = seen.select("__k", F.explode("tokens").alias("t"))
+    marks = [F.sum(F.xxhash64("__k", F.lit(salt)).cast("decimal(38,0)")).alias(f"m{salt}") for salt in (1, 2)]
+    frequent = held.groupBy("t").agg(F.count("*").alias("count"), *marks).where(F.col("count") >= F.lit(min_support * n))
+    same = scratch.put(frequent.groupBy("count", "m1", "m2").agg(F.min("t").alias("first"), F.collect_set("t").alias("all")).select("first", "all"))
+    slim = held.join(same.select(F.col("first").alias("t")), "t").groupBy("__k").agg(F.collect_set("t").alias("items"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    rows = scratch.put(seen.join(slim, "__k", "left").select(F.when(F.col("blocked"), F.array_append(items, F.lit("y:block"))).otherwise(items).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
     found = model.associationRules.where((F.col("consequent")[0] == "y:block") & (F.col("lift") >= min_lift))
     found = scratch.put(found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"))
+    found = scratch.put(written_out(found, same))
     other = found.select(F.col("tokens").alias("t2"), F.col("confidence").alias("c2"))
     wider = other.select(F.col("t2"), F.col("c2"), F.element_at("t2", 1).alias("one"))
     inside = found.select("tokens", "confidence", F.explode("tokens").alias("one")).join(wider, "one").where("size(t2) < size(tokens) and c2 >= confidence and size(array_except(t2, tokens)) = 0")

@@ -158,6 +158,29 @@ def test_mined_rules_equal_brute_force(spark):
     assert found == want
 
 
+def test_long_urls_are_mined_whole(spark):
+    draw = random.Random(13)
+    # 28 tokens stand together in the first half of the rows, 8 others come by chance; the last rows have rare tokens only
+    rows = [(k, [f"h:{j:02}" for j in range(28 if k < 40 else 0)] + [f"q:{j}" for j in range(8) if draw.random() < 0.5]) for k in range(80)]
+    rows += [(80 + k, [f"rare{k}"]) for k in range(20)]
+    bad = {k: k % 10 == 0 or "q:7" in t or ("q:1" in t and k < 40) for k, t in rows}
+    urls = spark.createDataFrame(rows, "page_id long, tokens array<string>")
+    labels = spark.createDataFrame(list(bad.items()), "page_id long, blocked boolean")
+    found = {tuple(r["tokens"]): (round(r["confidence"], 9), round(r["support"], 9), round(r["lift"], 9)) for r in U.mine(urls, labels, 0.05, 0.6, 1.0).collect()}
+    from itertools import combinations
+
+    share, rules = sum(bad.values()) / 100, {}
+    for n in range(0, 9):
+        for x in combinations([f"q:{j}" for j in range(8)], n):
+            for h in (None, *range(28)):  # two tokens of the same rows say the same as one
+                y = x if h is None else (f"h:{h:02}", *x)
+                hit = [bad[k] for k, t in rows if set(y) <= set(t)]
+                if y and sum(hit) >= 5 and sum(hit) / len(hit) >= 0.6 and sum(hit) / len(hit) / share >= 1.0:
+                    rules[y] = (round(sum(hit) / len(hit), 9), round(sum(hit) / 100, 9), round(sum(hit) / len(hit) / share, 9))
+    want = {x: v for x, v in rules.items() if not any(y in rules and rules[y][0] >= v[0] for n in range(1, len(x)) for y in combinations(x, n))}
+    assert found == want and any("q:7" in x for x in want) and any("h:27" in x for x in want)
+
+
 def test_every_language_is_learned(spark):
     rows = [(k * 70 + j, f"word{chr(97 + k % 26)}{chr(97 + k // 26)} same", f"l{k:02}") for k in range(70) for j in range(2)]
     model = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
