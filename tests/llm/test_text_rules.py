@@ -104,12 +104,54 @@ def test_secret_query(spark, tmp_path):
         ("<article><p>a<script>if (a<b) {x='</p>'}</script>b<style>p{}</style> c<!-- no --></p><ul><li>x<li>y</ul></article>", "ab c x y"),
         ("<article><p>unclosed <a href=\"a>b\">link</a> &lt;tag&gt; &am", "unclosed link <tag> &am"),
         ("<p>only <!-- unclosed", "only"),
+        ("<p>before</p><script>if (a<b) {x='1'}</script><p>The whole article, long words.</p>", 'before The whole article, long words.'),
+        ("<body><nav><a href=x>Menu</a></nav><article><h1>T</h1><p>Story one is long enough to be read.</p><div class='share-price'><p>The share price fell by ten, to 40.</p></div><div class='banner-image'>A caption of an image</div><p>More of the story.</p></article></body>", 'T Story one is long enough to be read. The share price fell by ten, to 40. A caption of an image More of the story.'),
+        ('<body><nav><a href=x>Menu</a></nav><main><article><h1>T</h1><p>The story is long enough, and has words to read in it, many of them.</p><p>More of it, again.</p></article><ul><li><a href=1>Link one</a><li><a href=2>Link two</a></ul><article><h2>Other</h2><p>A short teaser.</p></article></main></body>', 'T The story is long enough, and has words to read in it, many of them. More of it, again.'),
+        ("<body><form id=aspnet><div class='has-sidebar'><h1>T</h1><p>The story is long enough, and has words.</p><p>More of it, again.</p></div><input name=q></form></body>", 'T The story is long enough, and has words. More of it, again.'),
+        ("<body><form id=aspnet><div class='with-nav'><p>The story is long enough, and has words.</p><p>More of it, again.</p></div><input name=q></form><footer>c</footer></body>", 'The story is long enough, and has words. More of it, again.'),
+        ("<body><div id='search-results'><article><p>The story</p></article></div></body>", 'The story'),
+        ('<body><div class=menu><a href=a>A</a><a href=b>B</a></div><h1>Title</h1><div class=story><p>First words of a story that goes on for long.</p><p>Second words.</p></div><div id=comments><p>I like this very very very much, and more and more and more, so that it is longer.</p></div></body>', 'Title First words of a story that goes on for long. Second words.'),
+        ('<body><article><p>Words here. <script>x</scripty></script>after</p></article>', 'Words here. after'),
+        ('<body><main><div><p>Story words are here and they are long enough to count.</p><p>Second words of the story too.</p></div><ul><li><a href=1>One link text</a><li><a href=2>Two link text</a><li><a href=3>Three</a></ul></main><nav><a href=1>a</a></nav></body>', 'Story words are here and they are long enough to count. Second words of the story too.'),
     ],
 )
 def test_pages(page, text):
     assert H.main_text(page) == text
 
 
+def test_densities_equal_plain_recursion():
+    import math
+
+    page = "<body><nav><a href=x>Menu one</a><a href=y>Two</a></nav><div><p>Some words of a story, <a href=z>linked</a> too.</p><p>And more of them.</p><ul><li>One<li><a href=1>Two</a></ul></div></body>"
+    _, nodes = H.parse(page)
+    body = next(x for x in nodes if x.tag == "body")
+    H.count(nodes, kept_only=False)
+    H.weigh(nodes, body)
+
+    def stats(node):
+        c = lc = t = lt = 0
+        for x in node.children:
+            if isinstance(x, str):
+                c += len(x.strip())
+            else:
+                below = stats(x)
+                c, lc, t, lt = c + below[0], lc + below[1], t + below[2] + 1, lt + below[3]
+        return (c, c, t, max(lt, 1)) if node.tag == "a" else (c, lc, t, lt)
+
+    whole = stats(body)
+
+    def density(node):
+        c, lc, t, lt = stats(node)
+        if not c:
+            return 0.0
+        ratio = max(c / max(1, lc) * max(1, t) / max(1, lt), 1.0)
+        return c / max(1, t) * math.log(ratio) / math.log(c * lc / max(1, c - lc) + whole[1] / whole[0] * c + math.e)
+
+    for node in nodes:
+        assert node.density == pytest.approx(density(node))
+        assert node.total == pytest.approx(sum(density(x) for x in node.children if not isinstance(x, str) and not x.out))
+
+
 def test_page_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>é x</p></article>", "t"), (2, None, None, "t"), (1, "u", "<article><p>é x</p></article>", "t")], "page_id long, url string, html string, text string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in H.extract(pages).collect()) == [(1, "é x", 3), (1, "é x", 3), (2, "", 0)]
