@@ -145,7 +145,7 @@ def test_densities_equal_plain_recursion():
         if not c:
             return 0.0
         ratio = max(c / max(1, lc) * max(1, t) / max(1, lt), 1.0)
-        return c / max(1, t) * math.log(ratio) / math.log(c * lc / max(1, c - lc) + whole[1] / whole[0] * c + math.e)
+        return c / max(1, t) * math.log(ratio, math.log(c * lc / max(1, c - lc) + whole[1] / whole[0] * c + math.e))
 
     for node in nodes:
         assert node.density == pytest.approx(density(node))
