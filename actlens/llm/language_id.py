@@ -1,8 +1,10 @@
 """Language identification of mixed texts: script ranges, word scores and a Viterbi path.
 
 A word's script narrows the languages to those that were seen writing it; each of these scores the word by the
-log probabilities of its letter trigrams. A word is a run of letters of one script. A Viterbi path over the words of a text, with a penalty for each switch,
-labels spans of one language; the text's language is the one with most letters, and the score is its share.
+log probabilities of its letter trigrams. A word is a run of letters of one script; a run of more than ``LONGEST``
+letters, as in scripts without spaces, is read in pieces of ``PIECE`` letters, so that a span can change inside it.
+A Viterbi path over the words of a text, with a penalty for each switch, labels spans of one language; the text's
+language is the one with most letters, and the score is its share.
 
 Where the best single language can't be beaten by any path (no stretch of words gains more over it than one switch
 costs) the path is known without a search; all other texts are searched in full.
@@ -29,12 +31,21 @@ from actlens.llm.common import arrow_map, column_of, texts_of
 
 #: Labelled texts a language that are learned from, about; they are chosen by a hash of the id.
 SAMPLE = 1500
-#: Trigrams kept a language, the most frequent ones; every language is learned.
-TRIGRAMS = 20_000
 PENALTY = 12.0
 CLIP = 8.0
 MEMO = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+LONGEST, PIECE = 24, 12
+
+
+def _numerals() -> str:
+    """The characters of words that are neither letters nor decimal digits, as the ranges of a pattern."""
+    codes = [c for c in range(0x80, 0x110000) if chr(c).isalnum() and not chr(c).isalpha()]
+    starts = [c for k, c in enumerate(codes) if not k or codes[k - 1] != c - 1]
+    ends = [c for k, c in enumerate(codes) if k + 1 == len(codes) or codes[k + 1] != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
+
+
+LETTERS = re.compile(rf"[^\W\d_{_numerals()}]+")
 #: a letter that is not Latin
 BEYOND = re.compile(r"[^\W\d_\x41-\u024f\u1e00-\u1eff]")
 #: (first, last code point, script); what is in no range is "other".
@@ -51,11 +62,13 @@ def script_of(letter: str) -> str:
 
 
 def words_of(text: str) -> list[str]:
-    """The runs of letters of a text, cut where the script changes."""
+    """The runs of letters of a text, cut where the script changes, long ones in pieces."""
     found = LETTERS.findall(text)
-    if text.isascii() or not BEYOND.search(text):
-        return found
-    return ["".join(part) for run in found for _, part in groupby(run, script_of)]
+    if not text.isascii() and BEYOND.search(text):
+        found = ["".join(part) for run in found for _, part in groupby(run, script_of)]
+    if found and max(map(len, found)) > LONGEST:
+        found = [x for run in found for x in ([run] if len(run) <= LONGEST else [run[k : k + PIECE] for k in range(0, len(run), PIECE)])]
+    return found
 
 
 def trigrams(word: str) -> list[str]:
@@ -93,7 +106,7 @@ class Model:
         self.codes = np.array(sorted(keys), np.uint64)
         rows = [np.log((table[keys[int(k)]] + 0.5) / (totals + len(table))) for k in self.codes]
         #: one row for each trigram code, then that of unknown trigrams, then one that adds nothing
-        self.logs = np.array([*rows, np.log(0.5 / (totals + len(table))), np.zeros(len(at))]).reshape(-1, len(at))
+        self.logs = np.array([*rows, np.log(0.5 / (totals + len(table))), np.zeros(len(at))]).reshape(len(rows) + 2, len(at))
         letters: dict[str, Counter] = defaultdict(Counter)
         for language, script, n in scripts:
             letters[language][script] += n
@@ -103,18 +116,17 @@ class Model:
             self.script[first >> 4 : (last >> 4) + 1] = names.index(name)
         seen = [[letters[x][s] > 0 and letters[x][s] >= 0.01 * sum(letters[x].values()) for x in self.languages] for s in names[:-1]]
         #: languages that a script leaves; one that none was seen in leaves all
-        self.seen = np.array([r if any(r) else [True] * len(at) for r in [*seen, [False] * len(at)]], bool).reshape(-1, len(at))
+        self.seen = np.array([r if any(r) else [True] * len(at) for r in [*seen, [False] * len(at)]], bool).reshape(len(names), len(at))
 
     def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Of each word its log probabilities relative to the best language, no lower than -CLIP, and its letters.
 
-        Languages of another script are lowest. A word may hold several letter runs, and one without letters
-        scores alike in all languages.
+        Languages of another script are lowest.
         """
-        runs = [LETTERS.findall(w.lower()) for w in words]
-        letters = np.array([sum(map(len, r)) for r in runs], np.float64)
+        runs = [LETTERS.findall(w.lower()) for w in words]  # a letter's lower case may hold marks
+        letters = np.array([len(w) for w in words], np.float64)
         out = np.zeros((len(words), len(self.languages)), np.float32)
-        full = np.flatnonzero(letters)
+        full = np.flatnonzero([bool(r) for r in runs])
         if not len(full) or not self.languages:
             return out, letters
         padded = [f" {' '.join(runs[k])} " for k in full]
@@ -150,8 +162,7 @@ class Labeller:
         first = len(self.places)
         while first + len(new) > len(self.table):
             self.table, self.letters = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.letters, np.zeros_like(self.letters)])
-        if self.model.languages:
-            self.table[first : first + len(new)], self.letters[first : first + len(new)] = self.model.scores(new)
+        self.table[first : first + len(new), : len(self.model.languages)], self.letters[first : first + len(new)] = self.model.scores(new)
         self.places.update(zip(new, range(first, first + len(new)), strict=True))
 
     def path(self, scores: np.ndarray) -> np.ndarray:
@@ -203,7 +214,7 @@ class Labeller:
             at = np.fromiter(map(place, words), np.int64, len(words))
             letters = self.letters[at]
             whole = letters.sum()
-            if not whole:
+            if not whole or not self.model.languages:
                 out.append(("und", 0.0))
                 continue
             shares = np.bincount(self.path(self.table[at]), letters, len(self.model.languages))
@@ -215,8 +226,8 @@ class Labeller:
 def learn(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> Model:
     """A model from about ``sample`` labelled texts a language: all labels are counted, then texts are chosen by hash.
 
-    ``docs`` has doc_id, text and the label; rows to learn from only. Counts are made on the workers and cut to
-    the most frequent trigrams before they are gathered, so that what comes to the driver is bounded a language.
+    ``docs`` has doc_id, text and the label; rows to learn from only. Trigrams are counted on the workers; what comes
+    to the driver is bounded by the sample, whose trigrams are all kept.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("doc_id is not null and text is not null and lang is not null")
     rates = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("rate"))
@@ -236,10 +247,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang") -> Mode
         return step
 
     counts = arrow_map(chosen, make, "lang string, kind string, part string, n long").groupBy("lang", "kind", "part").agg(F.sum("n").alias("n"))
-    from pyspark.sql import Window
-
-    ranked = counts.withColumn("k", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "part"))).where(f"k <= {TRIGRAMS}")
-    found = ranked.select("lang", "kind", "part", "n").collect()
+    found = counts.collect()  # the trigrams of a sample of stated size
     return Model([(r[0], r[2], r[3]) for r in found if r[1] == "g"], [(r[0], r[2], r[3]) for r in found if r[1] == "s"])
 
 

@@ -257,6 +257,25 @@ def test_predictions_equal_spans_on_unspaced_text():
     assert [x[2] for x in labeller.spans("with这是中文")] == ["en", "zh"]
 
 
+def test_letters_are_letters():
+    import sys
+    import unicodedata
+
+    for c in map(chr, range(sys.maxunicode + 1)):
+        assert bool(L.LETTERS.fullmatch(c)) == unicodedata.category(c).startswith("L"), hex(ord(c))
+    labeller = L.Labeller(L.Model([("en", g, 5) for g in L.trigrams("the")], [("en", "latin", 3)]))
+    assert labeller.predict(["½ ²", "Ⅷ", "½ a"]) == [("und", 0.0), ("und", 0.0), ("en", 1.0)]
+
+
+def test_spans_change_inside_unspaced_text():
+    rows = [("zh", g, 50) for g in L.trigrams("这是中文我们")] + [("yue", g, 50) for g in L.trigrams("佢哋喺度嘅")]
+    labeller = L.Labeller(L.Model(rows, [("zh", "han", 100), ("yue", "han", 100)]))
+    text = "这是中文我们" * 20 + "佢哋喺度嘅" * 24
+    spans = labeller.spans(text)
+    assert [x[2] for x in spans] == ["zh", "yue"] and spans[0][1] == spans[1][0] == 120
+    assert spans[1][1] == len(text)
+
+
 def test_quick_path_equals_full_search():
     import numpy as np
 
