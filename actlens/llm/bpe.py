@@ -6,6 +6,10 @@ are compatible if merging their joined bytes would not have crossed the boundary
 covers the piece is unique and is the one that merging gives, and each place is visited at most once, so that
 the time is linear in the text. Decoding slices one byte string by token offsets.
 
+Texts are cut into words as the vocabulary file's own pre-tokenizer does it. Its letters, numbers and white space are
+those of another Unicode version than this pattern's, so that all code points are tried once on the driver
+(``odd_characters``), and those that it takes for another class are replaced by one of that class while a text is cut.
+
 Defined cases: null and empty texts have no tokens; texts are encoded whole; the special token's own string in a
 text becomes the special token, as in the tokenizers library; repeated rows are encoded each; an empty table
 gives an empty result; other columns are ignored.
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 
 from actlens.llm.common import arrow_map, column_of, texts_of
 
+#: a character of each class
+STANDS = {"letter": "\u00e9", "number": "\u00b2", "space": "\u2003", "other": "\u00a4"}
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries of a worker's memo of encoded words; it is emptied when full, so that memory stays bounded.
 MEMO = 300_000
@@ -47,10 +53,47 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+@lru_cache(4)
+def odd_characters(path: str) -> str:
+    """Pairs of a character that the file's pre-tokenizer takes for another class than ``PIECES`` does, and one of that class.
+
+    Characters of one class in a row make one piece, so that they are tried in halves down to those that do not.
+    """
+    import tokenizers
+
+    cut = tokenizers.Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    before = {"letter": "a", "number": "1", "other": "!"}
+    classes = {"letter": regex.compile(r"\p{L}"), "number": regex.compile(r"\p{N}"), "space": regex.compile(r"\s"), "other": regex.compile(r"[^\s\p{L}\p{N}]")}
+    out: list[str] = []
+
+    def one_piece(name: str, chars: str) -> bool:
+        return len(cut(before[name] + chars)) == 1
+
+    def theirs(c: str) -> str:
+        return next((name for name in before if one_piece(name, c)), "space")
+
+    def look(name: str, chars: str) -> None:
+        if name == "space" or len(chars) == 1:
+            out.extend(c + STANDS[x] for c in chars if (x := theirs(c)) != name)
+        elif chars and not one_piece(name, chars):
+            look(name, chars[: len(chars) // 2])
+            look(name, chars[len(chars) // 2 :])
+
+    for first in range(0, 0x110000, 1 << 14):
+        block = "".join(chr(c) for c in range(first, first + (1 << 14)) if not 0xD800 <= c <= 0xDFFF)
+        for name, mine in classes.items():
+            look(name, "".join(mine.findall(block)))
+    return "".join(out)
+
+
 class Vocabulary:
     """Tokens, merges, automaton, pair-compatibility table and offset table of one vocabulary file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, odd: str | None = None) -> None:
+        odd = odd_characters(path) if odd is None else odd
+        self.stands_for = str.maketrans(odd[::2], odd[1::2])
+        self.odd = regex.compile(f"[{regex.escape(odd[::2])}]") if odd else None
+        self.blank = {c for c, x in zip(odd[::2], odd[1::2], strict=True) if x == STANDS["space"]}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         letters = byte_letters()
@@ -176,7 +219,16 @@ class Vocabulary:
 
     def words(self, text: str) -> list[int]:
         """The tokens of a text in which no special token stands."""
-        return [i for p in self.split.findall(text) for i in self.piece(p)]
+        return [i for p in self.cuts(text) for i in self.piece(p)]
+
+    def cuts(self, text: str) -> list[str]:
+        """The words of a text; one takes the place of each odd character while they are sought."""
+        if text.isascii() or self.odd is None or not self.odd.search(text):
+            return self.split.findall(text)
+        return [text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.stands_for))]
+
+    def is_space(self, letter: str) -> bool:
+        return letter.isspace() or letter in self.blank
 
     def encode(self, text: str) -> np.ndarray:
         """The token ids of a whole text, as uint32."""
@@ -205,7 +257,7 @@ class Vocabulary:
         first, *rest = text.split(" ")
         memo = self.memo
         parts = [memo[x] for x in rest]
-        if None in parts or not first or first[-1].isspace():
+        if None in parts or not first or self.is_space(first[-1]):
             return [array("I", self.words(text)).tobytes()]
         return [array("I", self.words(first)).tobytes(), *parts]
 
@@ -228,7 +280,7 @@ class Memo(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, chunk: str) -> bytes | None:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+        if not chunk or self.vocabulary.is_space(chunk[0]) or self.vocabulary.is_space(chunk[-1]):
             return None
         ids = array("I", self.vocabulary.words(" " + chunk)).tobytes()
         if len(chunk) <= MEMO_CHARS:
@@ -239,18 +291,19 @@ class Memo(dict):
 
 
 @lru_cache(2)
-def vocabulary_of(path: str) -> Vocabulary:
-    """One vocabulary per worker process."""
-    return Vocabulary(path)
+def vocabulary_of(path: str, odd: str | None = None) -> Vocabulary:
+    """One vocabulary per worker process; ``odd`` comes from the driver."""
+    return Vocabulary(path, odd)
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(id, n_tokens, token_ids array<int>) of every row; one pass, no shuffle."""
     path = vocabulary or default_vocabulary()
+    odd = odd_characters(path)
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
 
     def make():
-        v = vocabulary_of(path)
+        v = vocabulary_of(path, odd)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [v.encode(t) for t in texts_of(batch, "__text")]
@@ -269,10 +322,11 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def decode_documents(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "token_ids", vocabulary: str | None = None) -> DataFrame:
     """(id, text) of token sequences; null ids give the empty text, bytes that are no UTF-8 the replacement character."""
     path = vocabulary or default_vocabulary()
+    odd = odd_characters(path)
     source = encoded.select(F.col(id_col).alias("__id"), F.col(ids_col).alias("__ids"))
 
     def make():
-        v = vocabulary_of(path)
+        v = vocabulary_of(path, odd)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [v.decode(np.array(x or [], np.int64)).decode("utf-8", "replace") for x in column_of(batch, "__ids").to_pylist()]
@@ -289,10 +343,11 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The digests are made where the ids are, so that the ids of a large table need not leave the worker.
     """
     path = vocabulary or default_vocabulary()
+    odd = odd_characters(path)
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
 
     def make():
-        v = vocabulary_of(path)
+        v = vocabulary_of(path, odd)
         decimal = [str(i) for i in range(len(v.sizes))]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
