@@ -2,11 +2,14 @@
 
 Each token has a span of code points in its text. A section takes the tokens that lie in it; a token that crosses
 boundaries goes by an explicit rule: to the section of its ``first`` character, to the ``largest`` part (the
-earlier of equals), or to each section by its ``share`` of the token's bytes.
+earlier of equals), or to each section by its ``share`` of the token's bytes. Fields, that is columns, are counted as
+sections of one text into which they are joined (``field_counts``).
 
 Defined cases: null and empty texts have no sections and no rows by default sections; sections may leave gaps, whose
-tokens are counted for no section; a token of less than one character counts at the character it is part of;
-sections of no length get no tokens; repeated rows are counted each; other columns pass by; an empty table gives an
+tokens are counted for no section; a null start is the text's start and a null end its end, a null section counts as
+one without length; sections are taken in order of their starts, and where they overlap the later one begins at the
+end of the earlier; bounds beyond the text are its ends; a token of less than one character counts at the character
+it is part of; sections of no length get no tokens; repeated rows are counted each; other columns pass by; an empty table gives an
 empty result.
 """
 
@@ -61,17 +64,18 @@ def allocate(ends: np.ndarray, starts_of: np.ndarray, ends_of: np.ndarray, rule:
 def section_counts(docs: DataFrame, rule: str = "largest", id_col: str = "doc_id", text_col: str = "text", sections_col: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """(id, section, start, end, n_tokens, doc_tokens): one row per section, offsets in code points.
 
-    ``sections_col`` is an array of structs (start, end), ordered and disjoint; without it the sections are lines.
-    One pass, no shuffle.
+    ``sections_col`` is an array of structs (start, end); without it the sections are lines. Rows are numbered as the
+    sections are given. One pass, no shuffle.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule}; one of {', '.join(RULES)}")
     path = vocabulary or bpe.default_vocabulary()
+    odd = bpe.odd_characters(path)
     own = F.col(sections_col) if sections_col else F.lit(None).cast("array<struct<start:long,end:long>>")
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), own.alias("__sections"))
 
     def make():
-        v = bpe.vocabulary_of(path)
+        v = bpe.vocabulary_of(path, odd)
 
         def bounds(text: str, raw: bytes, given: list | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
             if given is None and sections_col is None:
@@ -79,12 +83,20 @@ def section_counts(docs: DataFrame, rule: str = "largest", id_col: str = "doc_id
                 marks = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) if len(raw) != len(text) else None
                 ends_c = ends_b if marks is None else np.searchsorted(marks, ends_b)
                 return np.concatenate([[0], ends_b[:-1]]), ends_b, np.concatenate([[0], ends_c[:-1]]), ends_c
-            spans = [(x["start"], x["end"]) for x in given or [] if x is not None]
-            starts_c, ends_c = np.array([s for s, _ in spans], np.int64), np.array([e for _, e in spans], np.int64)
             marks = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
             limit = len(marks) - 1
+            spans = [(0, 0) if x is None else (x["start"] or 0, limit if x["end"] is None else x["end"]) for x in given or []]
+            starts_c, ends_c = np.array([s for s, _ in spans], np.int64), np.array([e for _, e in spans], np.int64)
             return marks[np.clip(starts_c, 0, limit)], marks[np.clip(ends_c, 0, limit)], starts_c, ends_c
 
+        def counted(ends: np.ndarray, starts_b: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+            order = np.lexsort((ends_b, starts_b))
+            last = np.maximum.accumulate(np.concatenate([[0], ends_b[order]]))
+            begins = np.maximum(starts_b[order], last[:-1])
+            out = np.zeros(len(order))
+            out[order] = allocate(ends, begins, np.maximum(begins, ends_b[order]), rule)
+            return out
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows: list[list[np.ndarray]] = [[], [], [], [], []]
             which: list[np.ndarray] = []
@@ -97,7 +109,7 @@ def section_counts(docs: DataFrame, rule: str = "largest", id_col: str = "doc_id
                 if not n:
                     continue
                 which.append(np.full(n, k))
-                for column, values in zip(rows, (np.arange(n), starts_c[:n], ends_c, allocate(ends, starts_b[:n], ends_b, rule), np.full(n, len(ends))), strict=True):
+                for column, values in zip(rows, (np.arange(n), starts_c[:n], ends_c, counted(ends, starts_b[:n], ends_b), np.full(n, len(ends))), strict=True):
                     column.append(values)
             index = np.concatenate([np.zeros(0, np.int64), *which]).astype(np.int64)
             flat = [np.concatenate([np.zeros(0), *c]) for c in rows]
@@ -109,3 +121,20 @@ def section_counts(docs: DataFrame, rule: str = "largest", id_col: str = "doc_id
 
     out = arrow_map(source, make, f"__id {dict(source.dtypes)['__id']}, section long, start long, end long, n_tokens double, doc_tokens long")
     return out.withColumnRenamed("__id", id_col)
+
+
+def field_counts(docs: DataFrame, fields: list[str], joiner: str = "\n", rule: str = "largest", id_col: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
+    """(id, field, n_tokens, doc_tokens): the tokens of each field in the text that they make when joined, encoded once.
+
+    A null field counts as empty; the joiner's own tokens belong to no field.
+    """
+    parts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
+    sections, at = [], F.lit(0).cast("long")
+    for part in parts:
+        end = at + F.length(part)
+        sections.append(F.struct(at.alias("start"), end.alias("end")))
+        at = end + F.lit(len(joiner))
+    joined = docs.select(F.col(id_col).alias("__key"), F.concat_ws(joiner, *parts).alias("__joined"), F.array(*sections).alias("__sections"))
+    rows = section_counts(joined, rule, "__key", "__joined", "__sections", vocabulary)
+    names = F.array(*[F.lit(f) for f in fields])
+    return rows.select(F.col("__key").alias(id_col), F.get(names, F.col("section")).alias("field"), "n_tokens", "doc_tokens")
