@@ -1,11 +1,12 @@
 """URL filter: fixed host and path rules, and association rules mined from labels by FP-growth.
 
 A URL is a set of tokens: host labels, path segments with their digits masked, file endings and query keys.
-FP-growth over labelled URLs finds token combinations that imply a block; rules are pruned by support,
-confidence and lift, and by shorter rules that say the same. Rules are matched through an inverted index on
+FP-growth over labelled URLs finds token combinations that imply a block; rules are pruned by support, by a floor of
+rows that bear them out, by confidence and lift, by significance (the lower bound of the confidence has to lie over
+the share of blocked rows), and by shorter rules that say the same. Rules are matched through an inverted index on
 their rarest token, then by containment, over the distinct token sets of all URLs.
 
-Defined cases: a null URL, or one without ``://``, has an empty host and path, no tokens and no rule; of several
+Defined cases: a null URL, or one without ``://``, has an empty host and path, no tokens and no mined rule; of several
 fitting rules the longest wins; of several mined rules the most confident, then the first in order; repeated rows
 are judged each; without labels nothing is mined; other columns pass by; an empty table gives an empty result.
 """
@@ -22,6 +23,9 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.2
+#: blocked rows that bear a rule out, at least; and how many standard errors its confidence may lie too high
+MIN_ROWS = 8
+ERRORS = 3.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,20 +72,22 @@ def written_out(rules: DataFrame, same: DataFrame) -> DataFrame:
     return out.withColumn("tokens", F.array_sort("tokens"))
 
 
-def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
+def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, min_rows: int = MIN_ROWS, errors: float = ERRORS) -> DataFrame:
     """Rules (tokens, confidence, lift, support) that imply a block.
 
     ``urls`` has (page_id, tokens), ``labels`` (page_id, blocked boolean). Rarer tokens than the support can bear
     are taken out first; a row left without any still counts. Tokens of the same rows are mined as one, and each
-    rule is written for all of them: rules that hold two of them say the same as a shorter rule.
+    rule is written for all of them: rules that hold two of them say the same as a shorter rule. The lower bound of a
+    confidence is Wilson's, ``errors`` standard errors down.
     """
     from pyspark.ml.fpm import FPGrowth
 
     scratch = Scratch(urls.sparkSession, "urls")
     known = scratch.put(urls.join(labels.where("blocked is not null and page_id is not null").groupBy("page_id").agg(F.bool_or("blocked").alias("blocked")), "page_id").select("tokens", "blocked"))
-    n = known.count()
-    if not n:
+    n, blocked = known.agg(F.count("*"), F.count_if("blocked")).first()
+    if not blocked:
         return urls.sparkSession.createDataFrame([], "tokens array<string>, confidence double, lift double, support double")
+    min_support = max(min_support, min(1.0, min_rows / n))
     seen = scratch.put(known.withColumn("__k", F.monotonically_increasing_id()))
     held = seen.select("__k", F.explode("tokens").alias("t"))
     marks = [F.sum(F.xxhash64("__k", F.lit(salt)).cast("decimal(38,0)")).alias(f"m{salt}") for salt in (1, 2)]
@@ -91,7 +97,10 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
     items = F.coalesce("items", F.array().cast("array<string>"))
     rows = scratch.put(seen.join(slim, "__k", "left").select(F.when(F.col("blocked"), F.array_append(items, F.lit("y:block"))).otherwise(items).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    found = model.associationRules.where((F.col("consequent")[0] == "y:block") & (F.col("lift") >= min_lift))
+    rows_of = F.col("support") * n / F.col("confidence")
+    z, c = errors**2, F.col("confidence")
+    lower = (c + z / (2 * rows_of) - errors * F.sqrt(c * (1 - c) / rows_of + z / (4 * rows_of * rows_of))) / (1 + z / rows_of)
+    found = model.associationRules.where((F.col("consequent")[0] == "y:block") & (F.col("lift") >= min_lift) & (lower > blocked / n))
     found = scratch.put(found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "lift", "support"))
     found = scratch.put(written_out(found, same))
     other = found.select(F.col("tokens").alias("t2"), F.col("confidence").alias("c2"))
@@ -125,6 +134,21 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES, id_col: str
     rows = split.withColumn("rule", rule).withColumn("fixed", verdict).withColumn("tokens", tokens_of(url, F.col("host"), F.col("path")))
     mined = scratch.put(mine(rows.select("page_id", "tokens"), labels))
     found = scratch.put(matched(rows, mined))
-    out = rows.join(found, "tokens", "left")
+    # rows without a token, all of one key, need no join
+    bare = rows.where(F.size("tokens") == 0).select("*", F.lit(None).cast("string").alias("mined_rule"), F.lit(None).cast("double").alias("confidence"))
+    out = rows.where(F.size("tokens") > 0).join(found, "tokens", "left").unionByName(bare)
     final = F.coalesce("fixed", F.when(F.col("mined_rule").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     return out.select(F.col("page_id").alias(id_col), "host", "path", "rule", final.alias("verdict"), "mined_rule", "confidence")
+
+
+def held_out_precision(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", parts: int = 4) -> tuple[int, float]:
+    """Of the labelled pages kept out of mining: those that a mined rule blocks, and the share of them that is labelled so.
+
+    Every ``parts``-th page by a hash of its id is kept out.
+    """
+    aside = F.pmod(F.xxhash64("page_id", F.lit(5)), F.lit(parts)) == 0
+    judged = judge(pages, labels.where(~aside), rules=(), id_col=id_col, url_col=url_col)
+    known = labels.where(aside & F.col("blocked").isNotNull()).groupBy("page_id").agg(F.bool_or("blocked").alias("blocked"))
+    both = judged.where("mined_rule is not null").select(F.col(id_col).alias("page_id")).join(known, "page_id")
+    n, share = both.agg(F.count("*"), F.avg(F.col("blocked").cast("double"))).first()
+    return n, share if n else 1.0
