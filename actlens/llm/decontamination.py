@@ -7,9 +7,11 @@ passages apart but lie in directions of small variance in the corpus, so that th
 and not from the corpus. A candidate is confirmed if the longest common subsequence covers enough of the passage's
 words and, for a paraphrase, if the passage's answer (its last sentence) is found too.
 
-The benchmark is handled in groups of about ``GROUP`` passages, which bounds what goes to the driver and the tasks;
-each group is set against all rows. Inside a group every ``RANK`` passages have a basis of their own, so that a basis
-keeps every direction of its passages and a copy scores the same in a benchmark of any size.
+The corpus is read and cut into words once for every ``VOCABULARY`` words or ``PASSAGES`` passages of the benchmark, and kept as numbers of
+words; frequencies are counted, and passages sought, over those numbers. Passages are sought in groups of ``GROUP``,
+which bounds what goes to the driver and the tasks; each group is set against all rows. Inside a group every ``RANK``
+passages have a basis of their own, so that a basis keeps every direction of its passages and a copy scores the same
+in a benchmark of any size. Long items are cut into passages of nearly equal length, so that none is left out.
 
 Defined cases: null and empty texts match nothing, as do benchmark items without words; documents are read whole;
 of several windows for one item the best is reported, ties going to the first; repeated rows are reported each; other
@@ -21,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,16 @@ from pyspark.sql import functions as F
 from actlens.llm.common import BATCH_ROWS, Scratch, arrow_map, column_of, ship, texts_of
 
 SEGMENT = 32
-#: Benchmark items longer than this are cut into passages of this many words.
+#: Benchmark items longer than this are cut into passages of this many words at most; one then lies in four segments.
 PASSAGE = 96
-#: Passages of one pass over the rows (items are kept whole), and passages of one basis: all its directions are kept.
-GROUP = 1000
+#: Words and passages of the benchmark that go with one reading of the corpus.
+VOCABULARY, PASSAGES = 1_000_000, 100_000
+#: Passages of one search over the rows (items are kept whole), and passages of one basis: all its directions are kept.
+GROUP = 2000
 RANK, OVERSAMPLE = 256, 16
-#: Of the cosine that a full copy inside a window would have, or of a passage's own weight, the share that makes a candidate.
-COSINE = 0.5
+#: Of a passage's own weight the share that a copy puts into one window, and of the cosine that a full copy inside a
+#: window would have the share that makes a candidate.
+COPY, COSINE = 0.5, 0.4
 COVERED, SURE, ANSWERED = 0.6, 0.85, 0.6
 MEMO = 250_000
 EDGES = b".,;:!?\"'()[]"
@@ -48,8 +54,8 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode().split()
 
 
-class Terms(dict):
-    """Word -> number of its term in the benchmark's vocabulary, or -1; edge punctuation is left off."""
+class Numbers(dict):
+    """Word -> its number in the benchmark's vocabulary, or that of all other words; edge punctuation is left off."""
 
     def __init__(self, vocabulary: dict[bytes, int]) -> None:
         super().__init__()
@@ -58,11 +64,12 @@ class Terms(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO:
             self.clear()
-        number = self[word] = self.vocabulary.get(word.strip(EDGES), -1)
+        number = self[word] = self.vocabulary.get(word.strip(EDGES), len(self.vocabulary))
         return number
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+def number_type(size: int) -> type:
+    return np.uint16 if size < 1 << 16 else np.uint32
 
 
 def passages(items: list[tuple[int, str]]) -> list[tuple[int, list[bytes], list[bytes]]]:
@@ -73,36 +80,54 @@ def passages(items: list[tuple[int, str]]) -> list[tuple[int, list[bytes], list[
         words = [w for w in words if w]
         sentences = [s for s in SENTENCE.split((text or "").strip()) if s.strip()]
         answer = [w for w in (x.strip(EDGES) for x in words_of(sentences[-1])) if w] if len(sentences) > 1 else words[-8:]
-        for k in range(0, len(words), PASSAGE):
-            part = words[k : k + PASSAGE]
-            if len(part) >= 5 or k == 0:
-                last = k + PASSAGE >= len(words)
-                out.append((item, part, answer if last else part[-8:]))
+        parts = max(1, -(-len(words) // PASSAGE))
+        cuts = [len(words) * k // parts for k in range(parts + 1)]
+        for first, end in zip(cuts, cuts[1:], strict=False):
+            part = words[first:end]
+            out.append((item, part, answer if end == len(words) else part[-8:]))
     return out
 
 
-def document_frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """In how many segments of the corpus each term of a block occurs, and the number of all segments."""
-    size = len(vocabulary)
-    ship(docs.sparkSession)
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def numbered_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """(doc_id, words binary): the numbers of every row's words."""
+    kind = number_type(len(vocabulary))
+    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)  # VOCABULARY words at most
+
+    def make():
+        numbers = Numbers(shipped.value)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            lists = (words_of(t) for t in texts_of(batch, "text"))
+            rows = [np.fromiter(map(numbers.__getitem__, words), kind, len(words)).tobytes() for words in lists]
+            return pa.RecordBatch.from_arrays([column_of(batch, "doc_id"), pa.array(rows, pa.binary())], ["doc_id", "words"])
+
+        return step
+
+    return arrow_map(docs, make, f"doc_id {dict(docs.dtypes)['doc_id']}, words binary")
+
+
+def document_frequencies(coded: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many segments of the corpus each word occurs, and the number of all segments."""
+    kind = number_type(size)
+    ship(coded.sparkSession)
+    coded.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, counts, n = Terms(vocabulary), np.zeros(size, np.int64), 0
+        counts, n = np.zeros(size + 1, np.int64), 0
         for batch in batches:
-            for text in texts_of(batch, "text"):
-                words = words_of(text)
-                ids = terms.of(words)
-                at = np.flatnonzero(ids >= 0)
-                counts += np.bincount(np.unique((at // SEGMENT) * size + ids[at]) % size, minlength=size)
+            for raw in column_of(batch, "words").to_pylist():
+                words = np.frombuffer(raw, kind)
+                pairs = np.arange(len(words), dtype=np.int64) // SEGMENT * (size + 1) + words
+                pairs.sort()
+                first = np.concatenate([[True], pairs[1:] != pairs[:-1]])[: len(pairs)]
+                counts += np.bincount(pairs[first] % (size + 1), minlength=size + 1)
                 n += -(-len(words) // SEGMENT)
-        held = np.flatnonzero(counts)
+        held = np.flatnonzero(counts[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(counts[held], n))], ["term", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # one row per term of a block
+    rows = coded.select("words").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row per word of the vocabulary
     found = np.zeros(size + 1, np.int64)
-    for term, n in rows:
-        found[term] = n
+    found[column_of(rows, "term").to_numpy()] = column_of(rows, "n").to_numpy()
     return found[:-1], int(found[-1])
 
 
@@ -178,51 +203,55 @@ def masks_of(pattern: list[int]) -> dict[int, int]:
 
 
 class Searcher:
-    """A group of benchmark passages, ready to be looked for in documents; each block has (first, end, terms, factors)."""
+    """A group of benchmark passages, ready to be looked for in documents; each block has (first, end, terms, factors).
+
+    ``places`` gives the group's number of each word of the vocabulary, -1 for those that the group lacks.
+    """
 
-    def __init__(self, vocabulary: dict[bytes, int], found: list[tuple[int, np.ndarray, list[int]]], idf: np.ndarray, blocks: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
-        self.terms, self.idf = Terms(vocabulary), idf
+    def __init__(self, places: np.ndarray, found: list[tuple[int, np.ndarray, list[int]]], idf: np.ndarray, blocks: list[tuple[int, int, np.ndarray, np.ndarray]]) -> None:
+        self.places, self.idf, self.kind = places, idf, number_type(len(places) - 1)
         self.items = [f[0] for f in found]
         self.patterns = [(masks_of(f[1].tolist()), len(f[1]), masks_of(f[2]), len(f[2])) for f in found]
-        self.norms = np.array([math.sqrt(float((np.bincount(f[1], minlength=len(idf)) ** 2 * idf**2).sum())) or 1.0 for f in found])
+        self.norms = np.array([math.sqrt(float((np.unique(f[1], return_counts=True)[1] ** 2 * idf[np.unique(f[1])] ** 2).sum())) or 1.0 for f in found])
         self.other = float(np.mean(idf**2))
         self.least = COSINE * np.sqrt(np.minimum(1.0, np.array([f[1].size for f in found]) / (2.0 * SEGMENT)))
         #: a whole copy puts half its weight or more into one window, however heavy the words beside it are
-        self.enough = 0.999 * COSINE * self.norms
+        self.enough = 0.999 * COPY * self.norms
         self.blocks = []
         for first, end, held, factors in blocks:
-            row = np.full(len(idf), -1, np.int64)
+            row = np.full(len(idf), -1, np.int32)
             row[held] = np.arange(len(held))
             weighed = factors * idf[held, None].astype(np.float32)
             queries = np.array([weighed[row[f[1]]].sum(0) for f in found[first:end]], np.float32)
             self.blocks.append((first, end, row, weighed, (queries / self.norms[first:end, None]).astype(np.float32)))
 
-    def find(self, text: str) -> list[tuple[int, float, float, float]]:
-        """(item, cosine, share of its words in order, share of its answer) of each passage confirmed in a text."""
-        words = words_of(text)
-        n = len(words)
-        if not n:
-            return []
-        ids = self.terms.of(words)
+    def find(self, raw: bytes) -> list[tuple[int, float, float, float]]:
+        """(item, cosine, share of its words in order, share of its answer) of each passage confirmed in a row's words."""
+        ids = self.places[np.frombuffer(raw, self.kind)]
+        n = len(ids)
         segments = -(-n // SEGMENT)
         known = np.flatnonzero(ids >= 0)
         if not len(known):
             return []
-        outside = np.bincount(np.flatnonzero(ids < 0) // SEGMENT, minlength=segments + 1) * self.other
-        inside = np.zeros(segments + 1)
         terms, places = ids[known], known // SEGMENT
-        pair, tf = np.unique(places.astype(np.int64) * len(self.idf) + terms, return_counts=True)
-        np.add.at(inside, pair // len(self.idf), (tf * self.idf[pair % len(self.idf)]) ** 2)
-        size = np.sqrt(inside[:-1] + inside[1:] + outside[:-1] + outside[1:])
+        outside = np.full(segments + 1, SEGMENT) - np.bincount(places, minlength=segments + 1)
+        outside[segments - 1 :] -= [segments * SEGMENT - n, SEGMENT]
+        width = len(self.idf)
+        pair = places * width + terms
+        pair.sort()
+        cut = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        tf = np.diff(np.append(cut, len(pair)))
+        pair = pair[cut]
+        inside = np.bincount(pair // width, (tf * self.idf[pair % width]) ** 2, minlength=segments + 1) + outside * self.other
+        size = np.sqrt(inside[:-1] + inside[1:])
         best: dict[int, tuple[float, float, float]] = {}
-        sequence = ids.tolist()
+        sequence: list[int] = []
         for first, end, row, factors, queries in self.blocks:
             rows, at = row[terms], places
-            if len(self.blocks) > 1:
-                here = rows >= 0
-                rows, at = rows[here], places[here]
-                if not len(rows):
-                    continue
+            here = rows >= 0  # a word of an answer alone is in no basis
+            rows, at = rows[here], places[here]
+            if not len(rows):
+                continue
             cuts = np.flatnonzero(np.diff(at, prepend=-1))
             sums = np.zeros((segments + 1, factors.shape[1]), np.float32)
             sums[at[cuts]] = np.add.reduceat(factors[rows], cuts, axis=0)
@@ -237,6 +266,7 @@ class Searcher:
             for w, p in zip(*np.nonzero((cosines >= least) | (dots >= enough)), strict=True):
                 masks, length, answer, answer_length = self.patterns[first + p]
                 start = int(worth[w]) * SEGMENT
+                sequence = sequence or ids.tolist()
                 region = sequence[max(0, start - length // 2) : start + 2 * SEGMENT + length // 2]
                 share = common_subsequence(masks, length, region) / length
                 if share < COVERED:
@@ -253,19 +283,18 @@ class Searcher:
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item_id, cosine, lcs_share, answer_share): a row for each document and benchmark item found in it."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    scratch = Scratch(spark, "leaks")
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, item_id long, cosine double, lcs_share double, answer_share double"
-    out = spark.createDataFrame([], schema)
-    block: list[tuple[int, str]] = []
-
-    def search(items: list[tuple[int, str]]) -> DataFrame | None:
-        found = [p for p in passages(items) if p[1]]
-        if not found:
-            return None
-        vocabulary = {w: k for k, w in enumerate(sorted({w for _, words, answer in found for w in [*words, *answer]}))}
-        numbered = [(i, np.array([vocabulary[w] for w in words], np.int64), [vocabulary[w] for w in answer]) for i, words, answer in found]
-        frequencies, n = document_frequencies(source, vocabulary)
-        idf = weights(frequencies, n)
+    found: list[DataFrame] = []
+
+    def search(group: list[tuple[int, list[bytes], list[bytes]]], vocabulary: dict[bytes, int], coded: DataFrame, frequencies: np.ndarray, n: int) -> DataFrame:
+        own = {w: k for k, w in enumerate(sorted({w for _, words, answer in group for w in [*words, *answer]}))}
+        numbered = [(i, np.array([own[w] for w in words], np.int64), [own[w] for w in answer]) for i, words, answer in group]
+        numbers = np.array([vocabulary[w] for w in own], np.int64)
+        idf = weights(frequencies[numbers], n)
+        places = np.full(len(vocabulary) + 1, -1, np.int32)
+        places[numbers] = np.arange(len(own))
         blocks = []
         for first in range(0, len(numbered), RANK):
             part = [x[1] for x in numbered[first : first + RANK]]
@@ -273,28 +302,43 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             blocks.append((first, first + len(part), held, basis(spark, [np.searchsorted(held, x) for x in part], idf[held])))
 
         def make():
-            searcher = Searcher(vocabulary, numbered, idf, blocks)
+            searcher = Searcher(places, numbered, idf, blocks)
 
             def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-                rows = [(k, *hit) for k, text in enumerate(texts_of(batch, "text")) for hit in searcher.find(text)]
+                rows = [(k, *hit) for k, words in enumerate(column_of(batch, "words").to_pylist()) if words for hit in searcher.find(words)]
                 ids = column_of(batch, "doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
                 return pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.int64()), *[pa.array([r[c] for r in rows], pa.float64()) for c in (2, 3, 4)]], ["doc_id", "item_id", "cosine", "lcs_share", "answer_share"])
 
             return step
 
-        return arrow_map(source, make, schema)
+        return scratch.put(arrow_map(coded, make, schema))
+
+    def against(held: list[tuple[int, list[bytes], list[bytes]]], words: dict[bytes, bytes]) -> None:
+        vocabulary = {w: k for k, w in enumerate(sorted(words))}
+        coded = scratch.put(numbered_words(source, vocabulary))
+        frequencies, n = document_frequencies(coded, len(vocabulary))
+        group: list[tuple[int, list[bytes], list[bytes]]] = []
+        for k, passage in enumerate(held):
+            group.append(passage)
+            # the passages of an item stay together
+            if k + 1 == len(held) or (len(group) >= GROUP and held[k + 1][0] != passage[0]):
+                found.append(search(group, vocabulary, coded, frequencies, n))
+                group = []
+        scratch.drop(coded)
 
     wanted = benchmark.select(F.col(item_col).cast("long"), F.col(item_text).cast("string")).where(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).orderBy(item_col, item_text)
-    held = 0
-    for row in wanted.toLocalIterator():
-        block.append((row[0], row[1]))
-        held += max(1, len(passages(block[-1:])))
-        if held >= GROUP:
-            if (hits := search(block)) is not None:
-                out = out.unionAll(hits)
-            block, held = [], 0
-    if block and (hits := search(block)) is not None:
-        out = out.unionAll(hits)
+    held: list[tuple[int, list[bytes], list[bytes]]] = []
+    words: dict[bytes, bytes] = {}
+    for item, text in wanted.toLocalIterator():
+        if held and (len(words) >= VOCABULARY or len(held) >= PASSAGES) and held[-1][0] != item:
+            against(held, words)
+            held, words = [], {}
+        for _, part, answer in passages([(item, text)]):
+            if part:  # each word is held once
+                held.append((item, [words.setdefault(w, w) for w in part], [words.setdefault(w, w) for w in answer]))
+    if held:
+        against(held, words)
+    out = reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], schema)
     return out.withColumnRenamed("doc_id", id_col)
 
 
