@@ -45,7 +45,9 @@ def _numerals() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True))
 
 
-LETTERS = re.compile(rf"[^\W\d_{_numerals()}]+")
+#: Letters exactly; and the quick forms for texts without a numeral, and for ASCII.
+LETTERS, NUMERALS = re.compile(rf"[^\W\d_{_numerals()}]+"), re.compile(f"[{_numerals()}]")
+QUICK, ASCII = re.compile(r"[^\W\d_]+"), re.compile(r"[A-Za-z]+")
 #: a letter that is not Latin
 BEYOND = re.compile(r"[^\W\d_\x41-\u024f\u1e00-\u1eff]")
 #: (first, last code point, script); what is in no range is "other".
@@ -61,9 +63,15 @@ def script_of(letter: str) -> str:
     return next((s for a, b, s in SCRIPTS if a <= code <= b), "other")
 
 
+def letter_runs(text: str) -> list[str]:
+    if text.isascii():
+        return ASCII.findall(text)
+    return (LETTERS if NUMERALS.search(text) else QUICK).findall(text)
+
+
 def words_of(text: str) -> list[str]:
     """The runs of letters of a text, cut where the script changes, long ones in pieces."""
-    found = LETTERS.findall(text)
+    found = letter_runs(text)
     if not text.isascii() and BEYOND.search(text):
         found = ["".join(part) for run in found for _, part in groupby(run, script_of)]
     if found and max(map(len, found)) > LONGEST:
@@ -123,7 +131,7 @@ class Model:
 
         Languages of another script are lowest.
         """
-        runs = [LETTERS.findall(w.lower()) for w in words]  # a letter's lower case may hold marks
+        runs = [letter_runs(w.lower()) for w in words]  # a letter's lower case may hold marks
         letters = np.array([len(w) for w in words], np.float64)
         out = np.zeros((len(words), len(self.languages)), np.float32)
         full = np.flatnonzero([bool(r) for r in runs])

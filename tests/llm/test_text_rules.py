@@ -220,7 +220,7 @@ def test_mined_rules_equal_brute_force(spark):
     bad = {k: "a" in t and "b" in t or draw.random() < 0.1 for k, t in rows}
     urls = spark.createDataFrame(rows, "page_id long, tokens array<string>")
     labels = spark.createDataFrame(list(bad.items()), "page_id long, blocked boolean")
-    found = {tuple(r["tokens"]): round(r["confidence"], 9) for r in U.mine(urls, labels, 0.02, 0.6, 1.0).collect()}
+    found = {tuple(r["tokens"]): round(r["confidence"], 9) for r in U.mine(urls, labels, 0.02, 0.6, 1.0, 1, 0.0).collect()}
     share = sum(bad.values()) / 120
     rules = {}
     for n in range(1, 5):
@@ -240,7 +240,7 @@ def test_long_urls_are_mined_whole(spark):
     bad = {k: k % 10 == 0 or "q:7" in t or ("q:1" in t and k < 40) for k, t in rows}
     urls = spark.createDataFrame(rows, "page_id long, tokens array<string>")
     labels = spark.createDataFrame(list(bad.items()), "page_id long, blocked boolean")
-    found = {tuple(r["tokens"]): (round(r["confidence"], 9), round(r["support"], 9), round(r["lift"], 9)) for r in U.mine(urls, labels, 0.05, 0.6, 1.0).collect()}
+    found = {tuple(r["tokens"]): (round(r["confidence"], 9), round(r["support"], 9), round(r["lift"], 9)) for r in U.mine(urls, labels, 0.05, 0.6, 1.0, 1, 0.0).collect()}
     from itertools import combinations
 
     share, rules = sum(bad.values()) / 100, {}
@@ -255,6 +255,19 @@ def test_long_urls_are_mined_whole(spark):
     assert found == want and any("q:7" in x for x in want) and any("h:27" in x for x in want)
 
 
+def test_rules_by_chance_are_not_mined(spark):
+    draw = random.Random(14)
+    rows = [(k, f"http://site{k % 40}.net/{draw.choice('abcdefgh')}/{'casino' if k % 9 == 0 else draw.choice('qrstuv')}?{draw.choice('xyz')}=1") for k in range(2000)]
+    pages = spark.createDataFrame([*rows, (5000, None), (5001, "none")], "page_id long, url string")
+    labels = spark.createDataFrame([(k, k % 9 == 0 and draw.random() < 0.95 or draw.random() < 0.2) for k, _ in rows], "page_id long, blocked boolean")
+    found = U.judge(pages, labels, rules=()).where("verdict = 'block'").collect()
+    assert {r["page_id"] for r in found} == set(range(0, 2000, 9)) and all("p:casino" in r["mined_rule"] for r in found)
+    n, precision = U.held_out_precision(pages, labels)
+    assert n > 30 and precision > 0.9
+    by_chance = labels.withColumn("blocked", F.pmod(F.xxhash64("page_id"), F.lit(5)) == 0)
+    assert U.judge(pages, by_chance, rules=()).where("verdict = 'block'").count() == 0
+
+
 def test_every_language_is_learned(spark):
     rows = [(k * 70 + j, f"word{chr(97 + k % 26)}{chr(97 + k // 26)} same", f"l{k:02}") for k in range(70) for j in range(2)]
     model = L.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
@@ -294,7 +307,7 @@ def test_letters_are_letters():
     import unicodedata
 
     for c in map(chr, range(sys.maxunicode + 1)):
-        assert bool(L.LETTERS.fullmatch(c)) == unicodedata.category(c).startswith("L"), hex(ord(c))
+        assert (L.letter_runs(c) == [c]) == unicodedata.category(c).startswith("L"), hex(ord(c))
     labeller = L.Labeller(L.Model([("en", g, 5) for g in L.trigrams("the")], [("en", "latin", 3)]))
     assert labeller.predict(["½ ²", "Ⅷ", "½ a"]) == [("und", 0.0), ("und", 0.0), ("en", 1.0)]
 
