@@ -1,7 +1,7 @@
 """Table changes without a transactional format: classify by join, return the new state, log what changed.
 
-Each function takes the target and the new rows as frames and returns the target's next state; ``swap_write`` puts it in
-place by writing beside the old files and renaming. One writer at a time is assumed.
+Each function takes the target and the new rows as frames and returns the target's next state; ``sources.store`` puts
+it in place.
 """
 
 from __future__ import annotations
@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from actlens.sources.scratch import Scratch
+
 
 def _paired(target: DataFrame, rows: DataFrame, keys: list[str], how: str) -> DataFrame:
     """target and rows side by side as structs t and s, joined null-safely on the keys; a missing side is null."""
@@ -75,6 +77,19 @@ def delete_where(target: DataFrame, condition: Column) -> DataFrame:
     return target.where(~F.coalesce(condition, F.lit(False)))
 
 
+def cascaded(rows: DataFrame, column: str, parents: DataFrame, key: str, action: str = "delete") -> DataFrame:
+    """Child rows after their parents changed: those whose parent is gone are deleted, or lose the reference (``set_null``).
+
+    Rows without a reference stay as they are.
+    """
+    held = parents.where(F.col(key).isNotNull()).select(F.col(key).alias("__k")).distinct()
+    if action == "delete":
+        return rows.where(F.col(column).isNull()).unionByName(rows.join(held, F.col(column) == F.col("__k"), "left_semi"))
+    if action != "set_null":
+        raise ValueError(f"unknown action {action}; delete or set_null")
+    return rows.join(held, F.col(column) == F.col("__k"), "left").withColumn(column, F.col("__k")).drop("__k")
+
+
 def change_log(before: DataFrame, after: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """(keys, campo, antes, depois): one row per changed field of rows that both states have."""
     both = _paired(before.select(*keys, *fields), after.select(*keys, *fields), keys, "inner")
@@ -117,11 +132,16 @@ def create_or_complete(acts: DataFrame, rows: DataFrame, natural: list[str], iss
 
 
 def next_ids(rows: DataFrame, target: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """New rows with ids after the target's largest, in a stated order; the batch is numbered in one task."""
-    from pyspark.sql import Window
+    """New rows with ids after the target's largest, in a stated order (nulls first); rows equal in it go in any order.
 
-    top = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
-    return rows.join(F.broadcast(top)).withColumn(key, F.col("__top") + F.row_number().over(Window.orderBy(*order))).drop("__top")  # one row
+    The batch is written in ranges of the order, and each range is numbered from the sum of the ranges before it.
+    """
+    top = target.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    places = {"__part": F.spark_partition_id(), "__k": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}
+    written = Scratch(rows.sparkSession, "ids").put(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(places))
+    counts = written.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # one row a task
+    return written.join(F.broadcast(before), "__part").withColumn(key, F.lit(top) + F.col("__before") + F.col("__k") + 1).drop("__part", "__k", "__before")
 
 
 class Constraints:
@@ -167,18 +187,3 @@ class Constraints:
         if bad:
             raise ValueError("; ".join(f"{r['regra']}: {r['linha']}" for r in bad))
         return rows
-
-
-def swap_write(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Writes a table's next state beside it and swaps the folders."""
-    jvm = spark._jvm
-    old, new, gone = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.next", f"{path}.old"))
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(new, True)
-    fs.delete(gone, True)
-    df.write.parquet(f"{path}.next")
-    if fs.exists(old) and not fs.rename(old, gone):
-        raise OSError(f"can't move {path}")
-    if not fs.rename(new, old):
-        raise OSError(f"can't move {path}.next")
-    fs.delete(gone, True)

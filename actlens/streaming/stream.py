@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from actlens.operators import merge
+from actlens.sources.store import Store
 
 LATE = "10 days"
 
@@ -35,21 +36,22 @@ def first_seen(events: DataFrame, keys: list[str], at: str, late: str = LATE) ->
 
 
 def upsert_sink(path: str, keys: list[str], order: str) -> Callable[[DataFrame, int], None]:
-    """Batch writer that merges each micro-batch into a table; of one key the latest row wins, and a repeated batch changes nothing."""
+    """Batch writer that merges each micro-batch into a ``Store``; of one key the latest row wins.
 
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
+    Only the buckets that a batch touches are read and written. A batch that was published before a crash is passed
+    over when it comes again, and one that was not leaves the table as it was.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        store = Store(batch.sparkSession, path, keys, batch.schema)
+        if store.current()["batch"] is not None and store.current()["batch"] >= number:
+            return
         names = [c for c in batch.columns if c not in keys]
         latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*names), order).alias("s")).select(*keys, "s.*").select(*batch.columns)
-        try:
-            target = spark.read.schema(batch.schema).parquet(path)
-            target.limit(1).count()
-        except Exception as missing:  # the table does not exist before the first batch
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            target = batch.limit(0)
+        touched = [r[0] for r in batch.select(store.bucket()).distinct().collect()]  # one row a bucket
+        target = store.read(touched)
         newer = latest.join(target.select(*keys, F.col(order).alias("__o")), keys, "left").where(F.col("__o").isNull() | (F.col(order) >= F.col("__o"))).drop("__o")
-        merge.swap_write(spark, merge.upsert(target, newer, keys), path)
+        store.replace(merge.upsert(target, newer, keys), touched, number)
 
     return write
 
