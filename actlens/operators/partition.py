@@ -1,13 +1,22 @@
 """Documents into parts: by headings and articles, into outlines and into paragraph chunks.
 
-The functions work on one text; the frame functions run them over rows in Arrow batches.
+A text is a row of atoms, each with an offset, an end and a rank: the blocks between empty lines, and, of a block
+that is over the limit, its lines, and of such a line its slices. A part is a stretch of the text from the start of
+one atom to the end of another, so that nothing in it is changed; only the break at a cut is left out. Parts are cut
+one after another: of the atoms that could begin the next part the one of the best rank is taken (a heading, else an
+article, else any block, line or slice), of equals the furthest.
+
+The functions work on one text; the frame functions run them over rows in Arrow batches. Null texts count as empty;
+an empty text is one empty part, has an empty outline and no chunks.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,136 +30,130 @@ DEPTH = {"LIVRO": 0, "ANEXO": 0, "TITULO": 1, "CAPITULO": 2, "SECAO": 3, "SUBSEC
 ARTICLE = re.compile(r"^Art\.\s*(\d+[\w-]*)", re.I)
 JOIN = "\n\n"
 LIMIT = 60_000
-NAME = 60
-
-
-def _plain(s: str) -> str:
-    return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii")
-
-
-class Heading:
-    """A heading block: its depth, and its label with the name that follows in the block or as the next block."""
-
-    def __init__(self, blocks: list[str], at: int, match: re.Match) -> None:
-        self.at, self.depth = at, DEPTH[_plain(match[1]).upper()]
-        lines = [x for x in map(str.strip, blocks[at].split("\n")) if x]
-        name = lines[1] if len(lines) > 1 else self._next(blocks, at)
-        self.label = lines[0][:NAME] + (f" ({name[:NAME]})" if name else "")
-
-    @staticmethod
-    def _next(blocks: list[str], at: int) -> str:
-        near = blocks[at + 1].strip() if at + 1 < len(blocks) else ""
-        plain = near and len(near) <= 200 and "\n" not in near and not ARTICLE.match(near) and not HEADING.match(near)
-        return near if plain else ""
-
-
-def headings(blocks: list[str]) -> list[Heading]:
-    return [Heading(blocks, k, m) for k, b in enumerate(blocks) if (m := HEADING.match(b))]
-
-
-def _width(sizes: list[int], first: int, last: int) -> int:
-    """Length of blocks first..last-1 when joined."""
-    return sizes[last] - sizes[first] + len(JOIN) * max(0, last - first - 1)
-
-
-def _lines(block: str, limit: int) -> list[str]:
-    """A block over the limit cut between lines; a line over the limit is cut anywhere."""
-    pieces: list[str] = []
-    for line in block.split("\n"):
-        cuts = [line[k : k + limit] for k in range(0, len(line), limit)] or [""]
-        for n, cut in enumerate(cuts):
-            whole_line = len(cuts) == 1
-            if n == 0 and whole_line and pieces and not pieces[-1].endswith("\0") and len(pieces[-1]) + 1 + len(cut) <= limit:
-                pieces[-1] += "\n" + cut
-            elif n == len(cuts) - 1 or whole_line:
-                pieces.append(cut)
-            else:
-                pieces.append(cut + "\0")  # a full piece of a long line takes no more
-    return [p.removesuffix("\0") for p in pieces if p.removesuffix("\0") or len(pieces) == 1]
+#: Fixed lengths: of a heading's shown lines, and of a block that can be a heading's name.
+NAME, TITLE = 60, 200
+RANK_HEADING, RANK_ARTICLE, RANK_BLOCK, RANK_LINE, RANK_SLICE = range(5)
+
+
+class Atom(NamedTuple):
+    start: int
+    end: int
+    rank: int
+    #: of a heading its depth and label, of an article its number
+    depth: int | None = None
+    label: str = ""
+
+
+def blocks_of(text: str) -> Iterator[tuple[int, str]]:
+    """(offset, block) of the blocks between empty lines."""
+    at = 0
+    for block in text.split(JOIN):
+        yield at, block
+        at += len(block) + len(JOIN)
+
+
+def depth_of(word: str) -> int:
+    return DEPTH[unicodedata.normalize("NFKD", word).encode("ascii", "ignore").decode().upper()]
+
+
+def can_be_name(block: str) -> bool:
+    return 0 < len(block) <= TITLE and "\n" not in block and not ARTICLE.match(block) and not HEADING.match(block)
+
+
+def atoms_of(text: str) -> list[Atom]:
+    """The blocks of a text with what they begin. A heading's name is its second line, else a short block after it."""
+    found: list[Atom] = []
+    unnamed = None
+    for at, block in blocks_of(text):
+        end = at + len(block)
+        if unnamed is not None and can_be_name(block.strip()):
+            found[unnamed] = found[unnamed]._replace(label=f"{found[unnamed].label} ({block.strip()[:NAME]})")
+        unnamed = None
+        if heading := HEADING.match(block):
+            shown = [x.strip()[:NAME] for x in block.split("\n") if x.strip()][:2]
+            if len(shown) == 1:
+                unnamed = len(found)
+            found.append(Atom(at, end, RANK_HEADING, depth_of(heading[1]), shown[0] + (f" ({shown[1]})" if len(shown) > 1 else "")))
+        elif article := ARTICLE.match(block):
+            found.append(Atom(at, end, RANK_ARTICLE, None, article[1]))
+        else:
+            found.append(Atom(at, end, RANK_BLOCK))
+    return found
+
+
+def refined(text: str, atoms: list[Atom], limit: int) -> Iterator[Atom]:
+    """Atoms of at most ``limit`` characters: longer blocks by lines, longer lines by slices."""
+    for atom in atoms:
+        if atom.end - atom.start <= limit:
+            yield atom
+            continue
+        at = atom.start
+        for line in text[atom.start : atom.end].split("\n"):
+            for k in range(0, max(1, len(line)), limit):
+                first = at == atom.start and k == 0
+                piece = Atom(at + k, at + min(k + limit, len(line)), RANK_SLICE if k else RANK_LINE)
+                yield atom._replace(end=piece.end) if first else piece
+            at += len(line) + 1
+
+
+def stretches(atoms: list[Atom], limit: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of the atoms of each part."""
+    ends = [a.end for a in atoms]
+    first = 0
+    while first < len(atoms):
+        far = bisect_right(ends, atoms[first].start + limit, first)
+        if far < len(atoms):
+            # the part after this one begins at one of the atoms up to the first that does not fit
+            far = min(range(first + 1, far + 1), key=lambda k: (atoms[k].rank, -k))
+        yield first, far
+        first = far
 
 
 def parts(text: str, limit: int = LIMIT) -> list[tuple[str, str, str]]:
     """(label, text, path) of parts up to ``limit`` characters.
 
-    Parts begin at headings where they can, else before articles, and joining them gives the text again; only a
-    block that is itself over the limit loses the line breaks at which it was cut. The path names the headings in
-    force where a part begins.
+    Joining the parts gives the text again, but for the line breaks at cuts inside a block that is itself over the
+    limit. The path names the headings in force where a part begins; a text that is one part has none.
     """
     if len(text) <= limit:
         return [("1", text, "")]
-    blocks = text.split(JOIN)
-    open_headings: dict[int, str] = {}
-    marks = {h.at: h for h in headings(blocks)}
-    units: list[tuple[list[str], str]] = []
-    for k, block in enumerate(blocks):
-        if (h := marks.get(k)) is not None:
-            open_headings = {d: x for d, x in open_headings.items() if d < h.depth} | {h.depth: h.label}
-        path = " > ".join(open_headings[d] for d in sorted(open_headings))
-        if h is not None or not units:
-            units.append(([], path))
-        units[-1][0].append(block)
-    small = [(piece, path) for unit, path in units for piece in _fit(unit, limit)]
+    atoms = list(refined(text, atoms_of(text), limit))
     out: list[tuple[str, str, str]] = []
-    held, path = "", None
-    for piece, at in small:
-        if path is not None and len(held) + len(JOIN) + len(piece) > limit:
-            out.append((str(len(out) + 1), held, path))
-            path = None
-        held, path = (piece, at) if path is None else (held + JOIN + piece, path)
-    if path is not None:
-        out.append((str(len(out) + 1), held, path))
+    path: list[Atom] = []
+    for first, end in stretches(atoms, limit):
+        for k in range(first, end):
+            if atoms[k].rank == RANK_HEADING:
+                path = [*(h for h in path if h.depth < atoms[k].depth), atoms[k]]
+            if k == first:
+                shown = " > ".join(h.label for h in path)
+        out.append((str(len(out) + 1), text[atoms[first].start : atoms[end - 1].end], shown))
     return out
 
 
-def _fit(unit: list[str], limit: int) -> list[str]:
-    """A unit as texts within the limit: cut before the last article that lets the rest fit, else before the block that overflows."""
-    blocks = [p for b in unit for p in ([b] if len(b) <= limit else _lines(b, limit))]
-    sizes = [0]
-    for b in blocks:
-        sizes.append(sizes[-1] + len(b))
-    if _width(sizes, 0, len(blocks)) <= limit:
-        return [JOIN.join(blocks)]
-    out, first = [], 0
-    for k in range(len(blocks)):
-        if k > first and _width(sizes, first, k + 1) > limit:
-            cut = k
-            if not ARTICLE.match(blocks[k]):
-                articles = [i for i in range(first + 1, k) if ARTICLE.match(blocks[i])]
-                if articles and _width(sizes, articles[-1], k + 1) <= limit:
-                    cut = articles[-1]
-            out.append(JOIN.join(blocks[first:cut]))
-            first = cut
-    return [*out, JOIN.join(blocks[first:])]
-
-
 def outline(text: str) -> str:
-    """Headings by depth, each with the first article below it."""
-    blocks = text.split(JOIN)
-    marks = {h.at: h for h in headings(blocks)}
+    """Headings by depth, each with the first article that follows it."""
     lines: list[str] = []
-    waiting: list[int] = []
-    for k, block in enumerate(blocks):
-        if k in marks:
-            waiting.append(len(lines))
-            lines.append("  " * marks[k].depth + marks[k].label)
-        elif waiting and (m := ARTICLE.match(block)):
-            for n in waiting:
-                lines[n] += f" — art. {m[1]}"
-            waiting = []
-    return "\n".join(lines)
+    article = ""
+    for atom in reversed(atoms_of(text)):
+        if atom.rank == RANK_ARTICLE:
+            article = f" — art. {atom.label}"
+        elif atom.rank == RANK_HEADING:
+            lines.append("  " * atom.depth + atom.label + article)
+    return "\n".join(reversed(lines))
 
 
 def chunks(text: str, limit: int = 4000, least: int = 30) -> list[str]:
     """Paragraphs gathered up to a size; a longer paragraph is cut; chunks under the least size are left out."""
-    out: list[str] = []
-    for p in (x.strip() for x in text.split(JOIN)):
-        pieces = [p[k : k + limit] for k in range(0, len(p), limit)]
-        for piece in pieces:
-            if out and len(out[-1]) + len(JOIN) + len(piece) <= limit:
-                out[-1] += JOIN + piece
-            else:
-                out.append(piece)
-    return [c for c in out if len(c) >= least]
+    pieces = [p[k : k + limit] for p in (x.strip() for _, x in blocks_of(text)) for k in range(0, len(p), limit)]
+    out: list[list[str]] = []
+    room = 0
+    for piece in pieces:
+        room -= len(JOIN) + len(piece)
+        if not out or room < 0:
+            out.append([])
+            room = limit - len(piece)
+        out[-1].append(piece)
+    return [c for c in map(JOIN.join, out) if len(c) >= least]
 
 
 def halves(text: str, depth: int = 0, least: int = 4000, deepest: int = 3) -> list[tuple[str, str, str]] | None:
@@ -194,3 +197,8 @@ def outline_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def chunk_rows(df: DataFrame, id_col: str, text_col: str, limit: int = 4000, least: int = 30) -> DataFrame:
     """(id, seq, texto) of every row's chunks."""
     return _rows(df, id_col, text_col, [("seq", "int", pa.int32()), ("texto", "string", pa.string())], lambda t: list(enumerate(chunks(t, limit, least))))
+
+
+def decided_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, so_ementa, partes): whether a text is only its abstract, and into how many parts a cut reply splits it."""
+    return _rows(df, id_col, text_col, [("so_ementa", "boolean", pa.bool_()), ("partes", "int", pa.int32())], lambda t: [(abstract_only(t), len(halves(t) or [t]))])
