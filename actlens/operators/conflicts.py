@@ -1,7 +1,9 @@
 """Similar pairs and conflicts inside themes.
 
 Vectors of a theme are dealt into blocks of about ``BLOCK``; each pair of blocks is one row, compared as matrices, so
-that a theme of any size is spread over tasks and only pairs over the threshold become rows.
+that a theme of any size is spread over tasks and only pairs over the threshold become rows. The comparison is exact:
+in many dimensions no bound from norms or pivots rules pairs out, and one vector is sent to one block in ``BLOCK``.
+Vectors of one call have one length; keys are whole numbers.
 """
 
 from __future__ import annotations
@@ -12,8 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actlens.functions.arrow import arrow_map, column_of
+from actlens.functions.text import has_text
+from actlens.operators import merge
 
-BLOCK = 512
+BLOCK = 2048
+#: Vectors of a block whose similarities are held at once.
+SLICE = 256
 
 
 def similar_pairs(rows: DataFrame, threshold: float, theme: str = "theme", key: str = "id", act: str | None = None, vec: str = "embedding", side: str | None = None) -> DataFrame:
@@ -34,38 +40,57 @@ def similar_pairs(rows: DataFrame, threshold: float, theme: str = "theme", key:
     key_type = dict(rows.dtypes)[key]
 
     def make():
-        def unit(cells: list[dict]) -> np.ndarray:
-            m = np.array([c["v"] for c in cells], np.float64)
-            return m, np.sqrt((m * m).sum(1))
+        def unpacked(cells: pa.StructArray) -> tuple[np.ndarray, ...]:
+            vectors = cells.field("v")
+            v = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1)
+            act, side = cells.field("act"), cells.field("side").fill_null(-1)
+            return cells.field("id").to_numpy(zero_copy_only=False), act, side.to_numpy(zero_copy_only=False), v, np.sqrt((v * v).sum(1))
+
+        def numbers(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            """Equal numbers for equal acts of both sides; nulls are unlike all."""
+            both = pa.concat_arrays([x, y]).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            return both[: len(x)], both[len(x) :]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for theme, low, high, xs, ys in zip(*[column_of(batch, c).to_pylist() for c in ("theme", "low", "high", "x", "y")], strict=True):
-                if not xs or not ys:
+            themes, found = column_of(batch, "theme"), [[np.zeros(0, np.int64)] * 3 + [np.zeros(0)]]
+            lists = column_of(batch, "x"), column_of(batch, "y")
+            low, high = (column_of(batch, c).to_pylist() for c in ("low", "high"))
+            for row in range(batch.num_rows):
+                xs, ys = (c[row].values for c in lists)
+                if xs is None or ys is None or not len(xs) or not len(ys):
                     continue
-                (x, nx), (y, ny) = unit(xs), unit(ys)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    sims = (x @ y.T) / (nx[:, None] * ny[None, :])
-                for i, j in zip(*np.nonzero(sims > threshold), strict=True):
-                    a, b = xs[i], ys[j]
-                    if (low == high and a["id"] >= b["id"]) or a["id"] == b["id"]:
-                        continue
-                    if (a["act"] is not None and a["act"] == b["act"]) or (a["side"] is not None and a["side"] == b["side"]):
-                        continue
-                    a, b = (a, b) if a["id"] < b["id"] else (b, a)
-                    out.append((theme, a["id"], b["id"], float(sims[i, j])))
-            t, a, b, s = zip(*out, strict=True) if out else ((), (), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(t, batch.schema.field("theme").type), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], ["theme", "a", "b", "s"])
+                (i_x, act_x, side_x, x, n_x), (i_y, act_y, side_y, y, n_y) = unpacked(xs), unpacked(ys)
+                act_x, act_y = numbers(act_x, act_y)
+                for first in range(0, len(i_x), SLICE):
+                    part = slice(first, first + SLICE)
+                    with np.errstate(invalid="ignore", divide="ignore"):
+                        sims = (x[part] @ y.T) / (n_x[part, None] * n_y[None, :])
+                    i, j = np.nonzero(sims > threshold)
+                    s, i = sims[i, j], i + first
+                    stay = (i_x[i] < i_y[j]) if low[row] == high[row] else (i_x[i] != i_y[j])
+                    stay &= ((act_x[i] < 0) | (act_x[i] != act_y[j])) & ((side_x[i] < 0) | (side_x[i] != side_y[j]))
+                    a, b = i_x[i[stay]], i_y[j[stay]]
+                    found.append([np.full(len(a), row), np.minimum(a, b), np.maximum(a, b), s[stay]])
+            row, a, b, s = (np.concatenate(c) for c in zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays([themes.take(pa.array(row)), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s)], ["theme", "a", "b", "s"])
 
         return step
 
-    found = arrow_map(blocks, make, f"theme {theme_type}, a long, b long, s double", rows=16)
+    found = arrow_map(blocks, make, f"theme {theme_type}, a long, b long, s double", rows=4)
     return found.select("theme", F.col("a").cast(key_type).alias("a"), F.col("b").cast(key_type).alias("b"), F.round("s", 4).alias("sim"))
 
 
-def eligible(rows: DataFrame, signs: Column) -> DataFrame:
-    """Rows whose sign can be in a conflict: AUTORIZA or VEDA, with a theme, a vector and a solution."""
-    return rows.withColumn("sinal", signs).where("sinal in ('AUTORIZA', 'VEDA') and theme is not null and embedding is not null")
+def eligible(rows: DataFrame, signs: Column, kinds: list[str] | None = None, kind: str = "tipo_ato", efficacy: str | None = None, solution: str | None = None) -> DataFrame:
+    """Rows that can be in a conflict: sign AUTORIZA or VEDA, with a theme and a vector.
+
+    Optionally of some kinds of act, of a binding efficacy (column ``efficacy``) and with a solution (column ``solution``).
+    """
+    out = rows.withColumn("sinal", signs).where("sinal in ('AUTORIZA', 'VEDA') and theme is not null and embedding is not null")
+    if kinds:
+        out = out.where(F.col(kind).isin(kinds))
+    if efficacy:
+        out = out.where(F.col(efficacy).like("vinculante%"))
+    return out.where(has_text(F.col(solution))) if solution else out
 
 
 def themes(rows: DataFrame, least: int = 3) -> DataFrame:
@@ -106,3 +131,16 @@ def to_review(found: DataFrame, limit: int = 30) -> DataFrame:
     """Superseding pairs without a formal relation, most similar and newest first."""
     order = [F.desc("sim"), F.col("data_b").desc_nulls_last(), F.col("materia_a"), F.col("materia_b")]
     return found.where("supera and not formal").orderBy(*order).limit(limit)
+
+
+PAIR = ["materia_a", "materia_b"]
+
+
+def upserted(table: DataFrame, found: DataFrame) -> DataFrame:
+    """The table of conflicts after new ones: one row a pair, whose figures are replaced and whose note is kept."""
+    return merge.upsert(table, found.select(*[c for c in found.columns if c in table.columns and c != "observacao"]), PAIR)
+
+
+def cleared(table: DataFrame, theme: str, themes: list | None = None) -> DataFrame:
+    """The table of conflicts without those of some themes, or without any."""
+    return merge.delete_where(table, F.col(theme).isin(themes) if themes is not None else F.lit(True))

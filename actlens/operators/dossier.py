@@ -39,9 +39,14 @@ def consolidated(acts: DataFrame, matters: DataFrame, taxes: DataFrame, provisio
 
 
 def context(documents: DataFrame, title: str, body: str, size: int, total: int) -> DataFrame:
-    """(contexto): one text of all documents in order of id, each cut to ``size``, the whole to ``total`` characters."""
+    """(contexto): one text of all documents in order of id, each cut to ``size``, the whole to ``total`` characters.
+
+    A line takes seven characters at least, so that no more than the first total / 7 documents can be seen; only
+    those are gathered. Documents without a title or a body are left out.
+    """
     part = F.concat(F.lit("### "), F.col(title), F.lit("\n"), truncated(F.col(body), size))
-    lines = documents.select("id", part.alias("t")).groupBy().agg(F.sort_array(F.collect_list(F.struct("id", "t"))).alias("l"))
+    first = documents.select("id", part.alias("t")).where("t is not null").orderBy("id", "t").limit(total // 7 + 1)
+    lines = first.groupBy().agg(F.sort_array(F.collect_list(F.struct("id", "t"))).alias("l"))
     return lines.select(F.left(F.array_join(F.transform("l", lambda x: x["t"]), "\n\n"), F.lit(total)).alias("contexto"))
 
 

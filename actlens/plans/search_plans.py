@@ -16,7 +16,12 @@ NATURE = {"en": "normativa", "fr": "consultiva"}
 def _weight(mode: str = "pratico"):
     nature = F.when(F.col("tipo_ato") == "en", "normativa").when(F.col("tipo_ato") == "fr", "consultiva").otherwise("operacional")
     status = F.when(F.col("quality") == 0, "retificador").otherwise("vigente_nunca_alterado")
-    return scoring.lookup(nature, scoring.MODES[mode]) * scoring.lookup(status, scoring.STATUS) * scoring.decay(F.col("data_publicacao"), AS_OF)
+    second = scoring.secondary(nature, F.col("especie"), F.col("emissor"))
+    return scoring.lookup(nature, scoring.MODES[mode]) * second * scoring.lookup(status, scoring.STATUS) * scoring.decay(F.col("data_publicacao"), AS_OF)
+
+
+#: kinds (k) are SOLUCAO_CONSULTA, INSTRUCAO_NORMATIVA, SOLUCAO_DIVERGENCIA, PORTARIA; issuers (i) COSIT, DISIT, COANA
+_SECOND = "CASE WHEN m.tipo_ato = 'fr' AND m.k = 2 THEN 1.15 WHEN m.tipo_ato = 'fr' AND m.k = 0 AND m.i <> 1 THEN 1.10 WHEN m.tipo_ato = 'en' AND m.k = 1 THEN 1.05 ELSE 1.0 END"
 
 
 def _hybrid_sql(where: str, mode: tuple[float, float, float]) -> str:
@@ -34,16 +39,17 @@ q AS (SELECT embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id = 3),
 vec AS (SELECT id, row_number() OVER (ORDER BY round(list_cosine_similarity(v, qv), 9) DESC, id) AS pos FROM k, q QUALIFY pos <= 90),
 r AS (SELECT coalesce(f.id, x.id) AS id, coalesce(1.0::DOUBLE / (60 + f.pos), 0) + coalesce(1.0::DOUBLE / (60 + x.pos), 0) AS rrf FROM fts f FULL JOIN vec x ON f.id = x.id),
 p AS (SELECT *, row_number() OVER (ORDER BY round(rrf, 9) DESC, id) AS o FROM r QUALIFY o <= 90)
-SELECT m.id, m.ato, m.tipo_ato, round(p.rrf * CASE m.tipo_ato WHEN 'en' THEN {mode[0]} WHEN 'fr' THEN {mode[1]} ELSE {mode[2]} END
+SELECT m.id, m.ato, m.tipo_ato, round(p.rrf * CASE m.tipo_ato WHEN 'en' THEN {mode[0]} WHEN 'fr' THEN {mode[1]} ELSE {mode[2]} END * {_SECOND}
   * CASE WHEN m.quality = 0 THEN 0.7 ELSE 1.0 END * pow(0.5, date_diff('day', m.data_publicacao, DATE '{AS_OF}') / 365.25 / 15.0)
   + CASE WHEN m.theme IN (1, 2) THEN 0.10 WHEN m.theme = 3 THEN 0.08 ELSE 0 END, 6) AS score
 FROM p JOIN m ON m.id = p.id ORDER BY score DESC, m.id LIMIT 15"""
 
 
 def _search(spark, sf_dir, mode, predicate=None):
-    rows = matters(spark, sf_dir)
+    vector = vector_of(spark, sf_dir, 3)
+    rows = matters(spark, sf_dir, lambda d: S.scored(d, TERMS), lambda e: S.scored(e, query=vector))
     provisions = rows.select(F.col("id").alias("materia_id"), F.when(F.col("theme") == 1, "tema_stf").when(F.col("theme") == 2, "sumula_vinculante").when(F.col("theme") == 3, "sumula_carf").otherwise("lei").alias("tipo_norma"))
-    out = S.hybrid(rows, TERMS, vector_of(spark, sf_dir, 3), _weight(mode), S.landmark_boost(provisions), predicate=predicate)
+    out = S.hybrid(rows, TERMS, vector, _weight(mode), S.landmark_boost(provisions), predicate=predicate)
     return out.select("id", "ato", "tipo_ato", "score")
 
 
@@ -92,12 +98,12 @@ def similar_pairs(spark, sf_dir):
 def _conflicts_sql(tail: str) -> str:
     return f"""
 WITH {MATTERS_SQL.strip()},
-e AS (SELECT * FROM m WHERE sinal IN ('AUTORIZA', 'VEDA')),
+e AS (SELECT * FROM m WHERE sinal IN ('AUTORIZA', 'VEDA') AND k IN (0, 2) AND quality IS NOT NULL AND length(trim(substr(body, 1, 20))) > 0),
 p AS (SELECT a.theme, a.id AS i, b.id AS j, round(list_cosine_similarity(a.v, b.v), 4) AS sim FROM e a JOIN e b ON a.theme = b.theme AND b.id > a.id AND a.ato <> b.ato AND a.sinal <> b.sinal
-  WHERE list_cosine_similarity(a.v, b.v) > 0.2),
+  WHERE list_cosine_similarity(a.v, b.v) > 0.1),
 o AS (SELECT p.theme, p.sim, CASE WHEN y.data_publicacao < x.data_publicacao THEN y.id ELSE x.id END AS materia_a, CASE WHEN y.data_publicacao < x.data_publicacao THEN x.id ELSE y.id END AS materia_b
   FROM p JOIN e x ON x.id = p.i JOIN e y ON y.id = p.j),
-ed AS (SELECT DISTINCT 'src' || (c_custkey % 20) AS x, 'src' || (c_nationkey % 20) AS y FROM customer WHERE c_custkey <= 60),
+ed AS (SELECT DISTINCT 'src' || (c_custkey % 20) AS x, 'src' || (c_custkey * c_custkey % 20) AS y FROM customer),
 f AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed),
 r AS (SELECT o.theme, o.materia_a, o.materia_b, o.sim, a.sinal AS sinal_a, b.sinal AS sinal_b, a.data_publicacao AS data_a, b.data_publicacao AS data_b,
     b.data_publicacao > a.data_publicacao AS supera, f.x IS NOT NULL AS formal
@@ -106,10 +112,12 @@ r AS (SELECT o.theme, o.materia_a, o.materia_b, o.sim, a.sinal AS sinal_a, b.sin
 
 
 def _conflicts(spark, sf_dir):
-    rows = C.eligible(matters(spark, sf_dir), F.col("sinal")).withColumn("data", F.col("data_publicacao"))
-    c = table(spark, sf_dir, "customer").where("c_custkey <= 60")
-    edges = c.select(F.concat(F.lit("src"), (F.col("c_custkey") % 20).cast("string")).alias("origem"), F.concat(F.lit("src"), (F.col("c_nationkey") % 20).cast("string")).alias("destino"))
-    return C.conflicts(rows, edges, 0.2).select("theme", "materia_a", "materia_b", "sim", "sinal_a", "sinal_b", "data_a", "data_b", "supera", "formal")
+    rows = matters(spark, sf_dir, lambda d: d.withColumn("solucao", F.left("body", F.lit(20))).drop("body")).withColumn("eficacia_atual", F.when(F.col("quality").isNotNull(), "vinculante_cosit"))
+    rows = C.eligible(rows, F.col("sinal"), ["SOLUCAO_CONSULTA", "SOLUCAO_DIVERGENCIA"], "especie", "eficacia_atual", "solucao").withColumn("data", F.col("data_publicacao"))
+    k = F.col("c_custkey")
+    source = [F.concat(F.lit("src"), x.cast("string")) for x in (k % 20, k * k % 20)]
+    edges = table(spark, sf_dir, "customer").select(source[0].alias("origem"), source[1].alias("destino"))
+    return C.conflicts(rows, edges, 0.1).select("theme", "materia_a", "materia_b", "sim", "sinal_a", "sinal_b", "data_a", "data_b", "supera", "formal")
 
 
 @query(_conflicts_sql("SELECT * FROM r"), ("data_a", "data_b"))
@@ -125,3 +133,13 @@ def conflicts_top(spark, sf_dir):
 @query(f"WITH {MATTERS_SQL.strip()} SELECT theme, count(*) AS n FROM m WHERE sinal IN ('AUTORIZA', 'VEDA') GROUP BY theme HAVING count(*) >= 3")
 def conflict_themes(spark, sf_dir):
     return C.themes(C.eligible(matters(spark, sf_dir), F.col("sinal")))
+
+
+@query(_conflicts_sql("""SELECT theme, materia_a, materia_b, sim, CASE WHEN materia_a % 2 = 0 THEN 'vista' END AS observacao FROM r WHERE theme <> 0
+UNION ALL SELECT 1, -1, -2, 0.5, 'antiga'"""))
+def conflict_upsert(spark, sf_dir):
+    """A table of conflicts that holds some of those found, with other figures and notes, after upsert and clearing of a theme."""
+    found = _conflicts(spark, sf_dir).select("theme", "materia_a", "materia_b", "sim")
+    held = found.where("materia_a % 2 = 0").withColumn("sim", F.lit(0.0)).withColumn("observacao", F.lit("vista"))
+    old = spark.createDataFrame([(1, -1, -2, 0.5, "antiga"), (0, -3, -4, 0.5, "antiga")], held.schema)
+    return C.cleared(C.upserted(held.unionByName(old), found), "theme", [0])
