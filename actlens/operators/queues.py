@@ -13,6 +13,8 @@ from actlens.functions.text import has_text
 
 RETRIABLE = ["nao_tentado", "erro_http", "erro_rede", "erro_extracao"]
 MAX_ATTEMPTS = 4
+#: HTTP answers after which another attempt can help.
+TRY_AGAIN = [408, 425, 429, 500, 502, 503, 504]
 
 
 def retry_queue(acts: DataFrame, contents: DataFrame, coleta: DataFrame, as_of: str, limit: int, kinds: list[str] | None = None, year_from: int | None = None, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
@@ -44,8 +46,9 @@ def response_class(status: Column, content_type: Column, body: Column) -> Column
     )
 
 
-def retriable(state: Column) -> Column:
-    return state.isin(["erro_http", "erro_rede", "erro_extracao", "bloqueado"])
+def retriable(state: Column, http_status: Column) -> Column:
+    """Whether another attempt can help: after a network error, or an answer of ``TRY_AGAIN``; never null."""
+    return F.coalesce((state == "erro_rede") | F.coalesce(http_status.isin(TRY_AGAIN), F.lit(False)), F.lit(False))
 
 
 def fold_attempts(coleta: DataFrame, results: DataFrame, as_of: str, jitter: float = 0.5) -> DataFrame:
@@ -64,7 +67,7 @@ def fold_attempts(coleta: DataFrame, results: DataFrame, as_of: str, jitter: flo
         "tentativas": attempts,
         "primeira_tentativa": F.when(tried, F.coalesce("o.primeira_tentativa", now)).otherwise(F.col("o.primeira_tentativa")),
         "ultima_tentativa": F.when(tried, now).otherwise(F.col("o.ultima_tentativa")),
-        "proxima_tentativa": F.when(tried, F.when(retriable(F.col("n.pdf_status")), F.timestamp_seconds(F.unix_timestamp(now) + wait))).otherwise(F.col("o.proxima_tentativa")),
+        "proxima_tentativa": F.when(tried, F.when(retriable(F.col("n.pdf_status"), F.col("n.http_status")), F.timestamp_seconds(F.unix_timestamp(now) + wait))).otherwise(F.col("o.proxima_tentativa")),
     }
     for c in ("pdf_status", "url_tentada", "http_status", "content_type", "bytes_baixados", "sha256", "erro", "origem"):
         out[c] = F.when(tried, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
@@ -115,14 +118,23 @@ def next_batch_state(state: Column, finished: Column, complete: Column, manual:
     return F.when((state == "enviado") & finished, "baixado").when((state == "baixado") & complete & (~manual | asked), "aplicado").otherwise(state)
 
 
-def _greedy(rows: DataFrame, group: str | None, schema: str, step) -> DataFrame:
-    return (rows.groupBy(group) if group else rows.groupBy(F.lit("all"))).applyInPandas(step, schema)
+def with_batch_state(manifests: DataFrame, results: DataFrame, asked: bool = False) -> DataFrame:
+    """Batch manifests (lote, estado, manual, pedidos) after one round of results (lote, respondidos, terminado)."""
+    both = manifests.join(results, "lote", "left")
+    complete = F.coalesce(F.col("respondidos") >= F.col("pedidos"), F.lit(False))
+    state = next_batch_state(F.col("estado"), F.coalesce("terminado", F.lit(False)), complete, F.coalesce("manual", F.lit(False)), F.lit(asked))
+    return both.withColumn("estado", state).select(*manifests.columns)
 
 
-def admit_within_budget(rows: DataFrame, cost: str, order: list[str], budget: float, group: str | None = None) -> DataFrame:
+def _greedy(rows: DataFrame, group: str | list[str], schema: str, step) -> DataFrame:
+    return rows.groupBy(*([group] if isinstance(group, str) else group)).applyInPandas(step, schema)
+
+
+def admit_within_budget(rows: DataFrame, cost: str, order: list[str], budget: float, group: str | list[str]) -> DataFrame:
     """Rows with ``aceito``: taken in order while the running cost fits; what does not fit is skipped, not a stop.
 
-    The choice of a row depends on all before it, so that a group (a sender's queue) is one task.
+    The choice of a row depends on all before it, so that a group is one task; a sender with a long queue gives a
+    second column (a day, a range of ids), and each of its values has the budget. Null costs are never taken.
     """
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", aceito boolean"
 
@@ -138,8 +150,12 @@ def admit_within_budget(rows: DataFrame, cost: str, order: list[str], budget: fl
     return _greedy(rows, group, schema, step)
 
 
-def pack(rows: DataFrame, size: str, order: list[str], limit: int, group: str | None = None, atom: str | None = None) -> DataFrame:
-    """Rows with ``bin``: filled in order up to ``limit`` each; rows of one atom stay together; never an empty bin."""
+def pack(rows: DataFrame, size: str, order: list[str], limit: int, group: str | list[str], atom: str | None = None) -> DataFrame:
+    """Rows with ``bin``: filled in order up to ``limit`` each; rows of one atom stay together; never an empty bin.
+
+    Bins are numbered in each group, which is one task; a group that is too long for one is cut by a second column,
+    whose values share no bin.
+    """
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", bin int"
 
     def step(part: pd.DataFrame) -> pd.DataFrame:

@@ -14,7 +14,7 @@ from actlens.plans.base import AS_OF, day, query, table
 #: Customers as acts, their orders as contents (no text for status P), order lines as matters (no vector where returned).
 _FLAGS = """
 t AS (SELECT o_custkey AS c, bool_or(o_orderstatus <> 'P' AND length(trim(o_orderpriority)) > 0) AS tem_texto, bool_or(o_totalprice > 250000) AS tem_pdf, count(*) AS linhas FROM orders GROUP BY 1),
-x AS (SELECT o_custkey AS c, count(*) AS materias, count(CASE WHEN l_returnflag <> 'R' THEN 1 END) AS emb FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderkey % 40 = 0 GROUP BY 1),
+x AS (SELECT o_custkey AS c, count(*) AS materias, count(CASE WHEN l_returnflag <> 'R' THEN 1 END) AS emb FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_totalprice > 380000 GROUP BY 1),
 k AS (SELECT c_custkey AS c, CASE WHEN c_custkey % 5 = 0 THEN 'sem_pdf_no_portal' ELSE 'nao_tentado' END AS pdf_status, CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END AS tentativas FROM customer WHERE c_custkey % 3 = 0),
 g AS (
   SELECT c_custkey AS id, c_mktsegment AS tipo_ato, coalesce(t.tem_texto, false) AS tem_texto, coalesce(t.tem_pdf, false) AS tem_pdf, coalesce(x.materias, 0) AS materias,
@@ -35,7 +35,7 @@ def _contents(spark, sf_dir):
 
 
 def _matters(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 40 = 0").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").where("o_totalprice > 380000").select("o_orderkey", "o_custkey")
     l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
     return l.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("ato_id"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("embedding"))
 
@@ -202,12 +202,15 @@ def requeued(spark, sf_dir):
 
 
 @query(f"""WITH {_Q.strip()} SELECT id, CASE WHEN id % 3 = 0 THEN (CASE WHEN id % 2 = 0 OR id % 4 = 1 THEN id % 6 ELSE 0 END) + 1 ELSE id % 6 END AS tentativas,
-  CASE WHEN id % 3 = 0 THEN 'erro_http' ELSE pdf_status END AS pdf_status,
-  CASE WHEN id % 3 = 0 THEN CAST(least(21600.0, pow(2.0, (CASE WHEN id % 2 = 0 OR id % 4 = 1 THEN id % 6 ELSE 0 END) + 1) * 60.0) AS BIGINT) END AS espera FROM a WHERE id % 3 = 0 OR id % 2 = 0 OR id % 4 = 1""")
+  CASE WHEN id % 3 = 0 THEN CASE WHEN id % 7 = 6 THEN 'erro_rede' ELSE 'erro_http' END ELSE pdf_status END AS pdf_status,
+  CASE WHEN id % 3 = 0 AND id % 7 NOT IN (0, 3) THEN CAST(least(21600.0, pow(2.0, (CASE WHEN id % 2 = 0 OR id % 4 = 1 THEN id % 6 ELSE 0 END) + 1) * 60.0) AS BIGINT) END AS espera FROM a WHERE id % 3 = 0 OR id % 2 = 0 OR id % 4 = 1""")
 def attempt_fold(spark, sf_dir):
     acts, _, coleta = _queue_parts(spark, sf_dir)
     extra = {c: F.lit(None).cast(t) for c, t in (("url_tentada", "string"), ("http_status", "int"), ("content_type", "string"), ("bytes_baixados", "long"), ("sha256", "string"), ("erro", "string"), ("origem", "string"))}
-    results = acts.where("id % 3 = 0").select(F.col("id").alias("ato_id"), F.lit("erro_http").alias("pdf_status")).withColumns(extra)
+    # answers 403, 503, 429, 410, 500, 408 and none
+    answer = F.get(F.array(*map(F.lit, (403, 503, 429, 410, 500, 408, None))), F.col("ato_id") % 7)
+    results = acts.where("id % 3 = 0").select(F.col("id").alias("ato_id")).withColumns(extra)
+    results = results.withColumns({"http_status": answer, "pdf_status": F.when(answer.isNull(), "erro_rede").otherwise("erro_http")})
     out = Q.fold_attempts(coleta.withColumn("proxima_tentativa", F.lit(None).cast("timestamp")).withColumns(extra), results, f"{AS_OF} 00:00:00")
     return out.select(F.col("ato_id").alias("id"), F.col("tentativas").cast("long").alias("tentativas"), "pdf_status", (F.unix_timestamp("proxima_tentativa") - F.unix_timestamp(F.lit(AS_OF).cast("timestamp"))).alias("espera"))
 
@@ -236,19 +239,38 @@ def backoff(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", F.round(scoring.backoff(F.col("o_orderkey") % 12, F.lit(0.25)), 3).alias("espera"))
 
 
-@query()
+@query("""
+WITH RECURSIVE o AS (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+r AS (SELECT o_custkey, o_orderkey, o_totalprice, k, o_totalprice <= 500000 AS aceito, CASE WHEN o_totalprice <= 500000 THEN o_totalprice ELSE 0 END AS gasto FROM o WHERE k = 1
+  UNION ALL SELECT o.o_custkey, o.o_orderkey, o.o_totalprice, o.k, r.gasto + o.o_totalprice <= 500000, r.gasto + CASE WHEN r.gasto + o.o_totalprice <= 500000 THEN o.o_totalprice ELSE 0 END FROM r JOIN o ON o.o_custkey = r.o_custkey AND o.k = r.k + 1)
+SELECT o_custkey, o_orderkey, o_totalprice, aceito FROM r""")
 def budget_admission(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return Q.admit_within_budget(o, "o_totalprice", ["o_orderkey"], 500_000.0, "o_custkey")
 
 
-@query()
+def _packing_sql(units: str, limit: int, out: str) -> str:
+    """Units (g, k, n) filled in order; k counts from 1 in each group."""
+    return f"""
+WITH RECURSIVE u AS ({units}),
+r AS (SELECT g, k, CAST(n AS BIGINT) AS held, 0 AS bin FROM u WHERE k = 1
+  UNION ALL SELECT u.g, u.k, CASE WHEN r.held > 0 AND r.held + u.n > {limit} THEN u.n ELSE r.held + u.n END, CASE WHEN r.held > 0 AND r.held + u.n > {limit} THEN r.bin + 1 ELSE r.bin END FROM r JOIN u ON u.g = r.g AND u.k = r.k + 1)
+{out}"""
+
+
+@query(_packing_sql(
+    "SELECT l_suppkey AS g, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity) AS k, CAST(l_quantity AS BIGINT) AS n, l_orderkey, l_linenumber, l_partkey FROM lineitem",
+    240, "SELECT u.g AS l_suppkey, u.l_orderkey, u.l_linenumber, u.l_partkey, u.n AS bytes, CAST(r.bin AS INTEGER) AS bin FROM u JOIN r USING (g, k)",
+))
 def size_bins(spark, sf_dir):
-    o = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("bytes"))
-    return Q.pack(o, "bytes", ["l_orderkey", "l_linenumber"], 240, "l_suppkey")
+    o = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("bytes"))
+    return Q.pack(o, "bytes", ["l_orderkey", "l_linenumber", "l_partkey", "bytes"], 240, "l_suppkey")
 
 
-@query()
+@query(_packing_sql(
+    "SELECT l_suppkey AS g, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey) AS k, count(*) AS n, l_orderkey FROM lineitem GROUP BY l_suppkey, l_orderkey",
+    10, "SELECT l.l_suppkey, l.l_orderkey, l.l_linenumber, 1 AS um, CAST(r.bin AS INTEGER) AS bin FROM lineitem l JOIN u ON u.g = l.l_suppkey AND u.l_orderkey = l.l_orderkey JOIN r ON r.g = u.g AND r.k = u.k",
+))
 def act_packing(spark, sf_dir):
     o = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", F.lit(1).alias("um"))
     return Q.pack(o, "um", ["l_orderkey", "l_linenumber"], 10, "l_suppkey", "l_orderkey")
