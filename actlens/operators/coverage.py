@@ -107,3 +107,14 @@ def inferred_collection(acts: DataFrame, contents: DataFrame, coleta: DataFrame
 def volumetry(acts: DataFrame, kind: str, published: str) -> DataFrame:
     """(kind, n, first, last): size and freshness by kind."""
     return acts.groupBy(kind).agg(F.count("*").alias("n"), F.min(published).alias("first"), F.max(published).alias("last"))
+
+
+def vector_coverage(matters: DataFrame, vec: str = "embedding") -> DataFrame:
+    """One row (n, com_vetor, pct): matters, those that have a vector, and their share in percent."""
+    out = matters.agg(F.count("*").alias("n"), F.count(F.col(vec)).alias("com_vetor"))
+    return out.withColumn("pct", F.round(F.lit(100.0) * F.col("com_vetor") / F.col("n"), 1))
+
+
+def graph_statistics(relations: DataFrame) -> DataFrame:
+    """(tipo_relacao, n, origens, pendentes): relations by type, their distinct origins, and those whose target is not held."""
+    return relations.groupBy("tipo_relacao").agg(F.count("*").alias("n"), F.countDistinct("ato_origem_id").alias("origens"), F.count_if(F.col("ato_destino_id").isNull()).alias("pendentes"))

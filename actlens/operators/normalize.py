@@ -1,8 +1,8 @@
 """Canonical values of vocabularies: an alias table joined on a folded key.
 
-The alias table is a parameter, built from a JSON file of sections with ``_canonicos``, ``_aliases`` and
-``_rejeitar_valores``; a small default covers common values. Later entries win over earlier ones, rejected values
-over all.
+The vocabulary is a parameter, read from a JSON file of sections (taxes, macro themes, regimes, norm types, relation
+types, uses, natures, results, sectors...) with ``_canonicos``, ``_aliases``, ``_realocar`` and ``_rejeitar_valores``.
+Later entries win over earlier ones, rejected values over all.
 """
 
 from __future__ import annotations
@@ -13,36 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actlens.functions.text import first_separator_split, fold_key
+from actlens.operators import merge
 
-#: A part of the vocabulary.
-DEFAULT = {
-    "tributos": {
-        "_canonicos": ["IRPJ", "IRPF", "IRRF", "CSLL", "PIS", "COFINS", "IPI", "II", "IE", "IOF", "ITR", "CIDE", "CONTRIB_PREV", "GILRAT", "CONTRIB_TERCEIROS", "SIMPLES", "MULTA_ISOLADA", "PROCESSO_ADM", "FINSOCIAL", "ISS", "ICMS", "EMPRESTIMO_COMPULSORIO", "FGTS"],
-        "_aliases": {
-            "PIS": ["PASEP", "PIS_PASEP", "PIS/PASEP", "PIS-PASEP", "piscofins"],
-            "COFINS": ["FINSOCIAL", "CONTRIB_COFINS"],
-            "CSLL": ["CSL", "CSS"],
-            "CONTRIB_PREV": ["INSS", "RAT", "SAT", "CPRB", "FAP", "PREVIDENCIA"],
-            "CONTRIB_TERCEIROS": ["CONTAG", "SENAR", "SESC", "SESI", "SENAC", "SENAI"],
-            "SIMPLES": ["SIMPLES_NACIONAL"],
-            "GILRAT": ["RAT", "SAT", "RAT_SAT"],
-            "ICMS": ["ICM", "ICMS_ST"],
-            "ISS": ["ISSQN"],
-            "EMPRESTIMO_COMPULSORIO": ["EMPRÉSTIMO_COMPULSÓRIO"],
-            "MULTA_ISOLADA": ["MULTA_OFICIO", "MULTA_QUALIFICADA"],
-        },
-        "_rejeitar_valores": ["IN", "6912", "CSS", "FAP", "FGTS", "ITPJ", "DCTF", "GFIP", "__NOVO_TRIBUTO"],
-    },
-    "temas_macro": {
-        "_canonicos": ["CREDITAMENTO", "ALIQUOTA_E_BASE_CALCULO", "LANCAMENTO", "SIMPLES_NACIONAL", "PROCESSO_ADMINISTRATIVO", "IRPJ_CSLL", "IRPF", "IPI"],
-        "_aliases": {"PROCESSO_ADMINISTRATIVO": ["PROCESS_ADMINISTRATIVO", "PAF"], "CREDITAMENTO": ["CREDITAMENTE", "CREDITOS"], "LANCAMENTO": ["LANCAMENTOS", "AUTO_INFRACAO"]},
-        "_realocar": {"PIS": "ALIQUOTA_E_BASE_CALCULO", "COFINS": "ALIQUOTA_E_BASE_CALCULO", "CSLL": "IRPJ_CSLL", "IRPJ": "IRPJ_CSLL", "PIS_COFINS": "ALIQUOTA_E_BASE_CALCULO"},
-        "_rejeitar_valores": ["NORMAS_GERAIS", "__NOVO_TEMA", "NULL"],
-    },
-    "regimes_tributarios": {"_canonicos": ["cumulativo", "nao_cumulativo", "lucro_real", "lucro_presumido", "simples_nacional", "monofasico"], "_aliases": {"nao_cumulativo": ["não-cumulativo", "nao_cumulativo_pis_cofins"]}},
-    "tipo_norma": {"_canonicos": ["lei_complementar", "lei", "medida_provisoria", "decreto", "instrucao_normativa", "portaria", "sumula_carf", "tema_stf"], "_aliases": {"lei_complementar": ["LC", "Lei Complementar"], "instrucao_normativa": ["IN", "IN_RFB"]}},
-    "tipo_relacao": {"_canonicos": ["altera", "interrompe", "referencia", "retifica", "recupera"], "_aliases": {"altera": ["ALT"], "interrompe": ["REV"]}},
-}
+#: Separators of composite values, in order of trial.
 SEPARATORS = ["/", " e ", " E ", " AND ", " and ", "&", " + ", "+", " - ", "_E_"]
 
 
@@ -52,16 +25,17 @@ def read_vocabulary(path: str) -> dict:
 
 
 def alias_entries(section: dict) -> list[tuple[str, str | None]]:
-    """(alias, canonical) in order of precedence, last wins; rejected values are null."""
-    found: list[tuple[str, str | None]] = [(a, c) for c, a in (section.get("_realocar") or section.get("_realocar_de_tributo_para_tema") or {}).items() for a, c in [(c, a)] if not a.startswith("_")]
+    """(alias, canonical) in order of precedence, last wins; rejected values are null. Notes (keys with _) are left out."""
+    moved = section.get("_realocar") or section.get("_realocar_de_tributo_para_tema") or {}
+    found: list[tuple[str, str | None]] = [(alias, canonical) for alias, canonical in moved.items() if not alias.startswith("_")]
     found += [(c, c) for c in section.get("_canonicos", [])]
-    found += [(a, c) for c, aliases in (section.get("_aliases") or {}).items() for a in aliases]
+    found += [(alias, c) for c, aliases in (section.get("_aliases") or {}).items() if not c.startswith("_") for alias in aliases]
     return found + [(r, None) for r in section.get("_rejeitar_valores", [])]
 
 
-def alias_table(spark: SparkSession, vocabulary: dict | None = None) -> DataFrame:
+def alias_table(spark: SparkSession, vocabulary: dict) -> DataFrame:
     """(section, chave, canonico): one row per folded key, the last entry of a section winning."""
-    rows = [(s, n, a, c) for s, body in (vocabulary or DEFAULT).items() if isinstance(body, dict) for n, (a, c) in enumerate(alias_entries(body))]
+    rows = [(s, n, a, c) for s, body in vocabulary.items() if isinstance(body, dict) for n, (a, c) in enumerate(alias_entries(body))]
     df = spark.createDataFrame(rows, "section string, n int, alias string, canonico string")
     return df.groupBy("section", fold_key(F.col("alias")).alias("chave")).agg(F.max_by(F.struct("canonico"), "n").alias("c")).select("section", "chave", F.col("c.canonico").alias("canonico"))
 
@@ -102,3 +76,16 @@ def types_by_nature(spark: SparkSession, natures: dict[str, list[str]]) -> DataF
     """(codigo, natureza) from {nature: [types]}."""
     table = spark.createDataFrame([(n, list(t)) for n, t in natures.items()], "natureza string, tipos array<string>")
     return table.select(F.explode("tipos").alias("codigo"), "natureza")
+
+
+def seeded(lookups: dict[str, DataFrame], seeds: dict[str, DataFrame], key: str = "codigo") -> dict[str, DataFrame]:
+    """Next states of lookup tables after seeding: new codes are added, known ones take the seed's columns; a seed of an
+    unknown table is an error."""
+    return {name: merge.upsert(rows, seeds[name], [key]) if name in seeds else rows for name, rows in ({n: lookups[n] for n in seeds} | lookups).items()}
+
+
+def with_schemas(themes: DataFrame, schemas: DataFrame, key: str = "codigo") -> DataFrame:
+    """Themes with the JSON schema whose file is named after them: ``schemas`` has (path, content); others keep theirs."""
+    name = F.upper(F.regexp_extract("path", r"([^/]+)\.json$", 1))
+    found = schemas.select(name.alias("__k"), F.col("content").cast("string").alias("__s")).where("__k <> ''").groupBy("__k").agg(F.max("__s").alias("__s"))
+    return themes.join(found, F.upper(F.translate(F.col(key), ".", "_")) == F.col("__k"), "left").withColumn("schema_tematico", F.coalesce("__s", "schema_tematico")).drop("__k", "__s")

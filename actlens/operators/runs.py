@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +60,43 @@ def needs_second_attempt(runs: DataFrame, day: str) -> DataFrame:
 
 def lock_free(held_since: str | None, as_of: str, hours: int = 12) -> bool:
     """Whether a run may begin: no lock, or one that has expired."""
-    from datetime import datetime, timedelta
-
     return held_since is None or datetime.fromisoformat(as_of) - datetime.fromisoformat(held_since) > timedelta(hours=hours)
+
+
+class RunLock:
+    """A lock file: one run at a time, an expired lock is taken over; attempts of a day are kept one file each."""
+
+    def __init__(self, folder: str, as_of: str, hours: int = 12) -> None:
+        self.folder, self.as_of, self.hours = Path(folder), as_of, hours
+        self.file = self.folder / "lock"
+
+    def __enter__(self) -> RunLock:
+        self.folder.mkdir(parents=True, exist_ok=True)
+        if self.file.exists() and lock_free(self.file.read_text(), self.as_of, self.hours):
+            self.file.unlink()
+        try:
+            with self.file.open("x") as file:  # fails if another run made it first
+                file.write(self.as_of)
+        except FileExistsError as held:
+            raise RuntimeError(f"a run holds the lock since {self.file.read_text()}") from held
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.file.unlink(missing_ok=True)
+
+    def keep_attempt(self, text: str) -> Path:
+        """Writes one attempt's report under the day and the next free number."""
+        day = self.as_of[:10]
+        number = 1 + len(list(self.folder.glob(f"{day}-*.txt")))
+        path = self.folder / f"{day}-{number}.txt"
+        with path.open("x", encoding="utf-8") as file:
+            file.write(text)
+        return path
+
+
+def semantic_smoke(rows: DataFrame, query: list[float], key: str, vec: str, expected: list, size: int = 10) -> bool:
+    """Whether the rows that must be near a query vector are among its nearest."""
+    from actlens.operators.search import nearest
+
+    found = {r[0] for r in nearest(rows, query, key, vec, size).select(key).collect()}  # ``size`` rows
+    return set(expected) <= found

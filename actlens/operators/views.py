@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actlens.functions.text import date_dmy, squeeze
+from actlens.functions.text import date_dmy, has_text, squeeze
 
 SEGMENT = "struct<idSegmento:long,versaoSegmento:int,ordemSegmentoAto:int,idTipoSegmento:int,idAssunto:int,textoIntegra:string,original:boolean,compilado:boolean,omitir:boolean,tachado:boolean,agendado:boolean,arquivoBinario:struct<idArquivoBinario:long>>"
 HISTORY = "struct<idAto:long,idSegmento:long,idAnotacao:long,texto:string,dataInicioVigencia:string,dataRepublicacao:string,ehAgendamento:boolean,textoAgendamento:string>"
@@ -77,17 +77,29 @@ def history(views: DataFrame) -> DataFrame:
 
 
 def load(views: DataFrame, tables: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame]:
-    """Next states of content, snapshots, segments and history after loading views, and the change log.
+    """Next states of content, snapshots, segments, history, acts and collection after loading views, and the change log.
 
-    A view that was loaded before changes nothing and logs nothing.
+    All come from one reading of the views and are one unit: the caller publishes them together or not at all. A view
+    that was loaded before changes nothing and logs nothing. Where ``tables`` has ``ato`` (id, status_vigencia,
+    content_disponivel) and ``ato_coleta`` (ato_id, pdf_status, tentativas, origem), acts that got a text are flagged
+    and take the view's status, and their collection is ``baixado`` from the portal; bodies in files stay open.
     """
     from actlens.operators import merge
 
     found = texts(views)
     content = found.select(F.col("idAto").alias("ato_id"), F.col("texto").alias("texto_completo"), F.length("texto").alias("caracteres"), F.lit("vigente").alias("tipo_versao"))
     snaps = found.select(F.col("idAto").alias("ato_id"), F.lit("multivigente").alias("visao"), "sha256", "texto")
+    out = {}
+    if "ato" in tables:
+        state = found.select(F.col("idAto").alias("id"), F.col("status").alias("__s"), (has_text(F.col("texto")) & ~F.col("corpo_em_arquivo")).alias("__t"))
+        acts = tables["ato"].join(state, "id", "left")
+        flag = F.coalesce("content_disponivel", F.lit(False)) | F.coalesce("__t", F.lit(False))
+        out["ato"] = acts.withColumns({"status_vigencia": F.coalesce("__s", "status_vigencia"), "content_disponivel": flag}).select(*tables["ato"].columns)
+    if "ato_coleta" in tables:
+        got = found.where(has_text(F.col("texto")) & ~F.col("corpo_em_arquivo")).select(F.col("idAto").alias("ato_id"), F.lit("baixado").alias("pdf_status"), F.lit(0).alias("tentativas"), F.lit("portal").alias("origem"))
+        out["ato_coleta"] = merge.upsert(tables["ato_coleta"], got, ["ato_id"], {"tentativas": lambda old, new: old})
     next_content = merge.upsert(tables["ato_content"], content, ["ato_id", "tipo_versao"])
-    return {
+    return out | {
         "ato_content": next_content,
         "ato_texto_visao": merge.insert_missing(tables["ato_texto_visao"], snaps, ["ato_id", "visao", "sha256"]),
         "ato_segmento": merge.upsert(tables["ato_segmento"], segments(views), ["ato_id", "id_segmento", "versao_segmento"]),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from actlens.operators import runs as N
 from actlens.operators import search as S
 from actlens.plans.base import day, query, table
 from actlens.sources import portal, tables
+from actlens.sources.scratch import shared_dir
+from actlens.sources.store import Store
 from actlens.streaming import stream
 
 
@@ -43,9 +45,9 @@ def hash_shard(spark, sf_dir):
     return tables.shard(table(spark, sf_dir, "orders"), "o_orderkey", 8, 3).where(has_text(F.col("o_orderpriority"))).select("o_orderkey")
 
 
-@query("SELECT o_orderkey, NULL::VARCHAR AS coluna_ausente, o_orderstatus AS presente FROM orders WHERE o_orderkey < 500")
+@query("SELECT o_orderkey, NULL::VARCHAR AS coluna_ausente, o_orderstatus AS presente FROM orders")
 def adaptive_columns(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 500")
+    o = table(spark, sf_dir, "orders")
 
     def maybe(name: str, out: str):
         return (F.col(name) if name in o.columns else F.lit(None).cast("string")).alias(out)
@@ -177,11 +179,23 @@ def create_or_complete(spark, sf_dir):
     return M.create_or_complete(acts, rows, ["emissor"])
 
 
-@query()
+#: the analyser in SQL: folded words without stopwords, cut to light stems
+_PT = f"""list_transform(list_filter(regexp_extract_all(lower(regexp_replace(translate(text, '{X._ACCENTED}', '{X._PLAIN}'), '[^\\x00-\\x7F]', '', 'g')), '[a-z0-9]+'),
+  lambda w: NOT list_contains({X.STOPWORDS!r}, w)), lambda w: regexp_replace(w, '^(\\w{{3,}}?)(?:{X.ENDINGS})$', '\\1'))"""
+
+
+@query(f"""
+WITH c AS (SELECT doc_id AS id, len(t) AS n, len(list_filter(t, lambda x: x = 'the')) AS f0, len(list_filter(t, lambda x: x = 'and')) AS f1 FROM (SELECT doc_id, {_PT} AS t FROM documents)),
+s AS (SELECT count(*) AS nd, avg(n) AS av, count(*) FILTER (f0 > 0) AS d0, count(*) FILTER (f1 > 0) AS d1 FROM c),
+b AS (SELECT id, round(
+    ln(1.0 + (nd - d0 + 0.5) / (d0 + 0.5)) * f0 * 2.2 / (f0 + 1.2 * (0.25 + 0.75 * n / av)) +
+    ln(1.0 + (nd - d1 + 0.5) / (d1 + 0.5)) * f1 * 2.2 / (f1 + 1.2 * (0.25 + 0.75 * n / av)), 9) AS sc
+  FROM c, s WHERE f0 > 0 AND f1 > 0)
+SELECT id, CAST(row_number() OVER (ORDER BY sc DESC, id) AS INTEGER) AS pos FROM b QUALIFY pos <= 20""")
 def portuguese_search(spark, sf_dir):
     """The lexical branch with the light Portuguese analyser."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
-    return S.lexical(d, ["the", "from"], "id", "body", 20, X.portuguese_terms)
+    return S.lexical(d, ["the", "and"], "id", "body", 20, X.portuguese_terms)
 
 
 # --- parity and runs
@@ -205,23 +219,24 @@ def distribution_parity(spark, sf_dir):
 
 
 def _runs(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 400")
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     begin = F.timestamp_seconds(F.lit(946684800) + k * 3600)
     return o.select(F.concat(F.lit("r"), k.cast("string")).alias("run_id"), begin.alias("inicio"), F.timestamp_seconds(F.lit(946684800) + k * 3600 + (k % 50) * 30).alias("fim"), F.when(k % 3 == 0, "ok").otherwise("com_erro").alias("estado"), (k % 7).cast("int").alias("erros_coleta"), (k % 5).cast("int").alias("erros_categorizacao"), (k % 4).cast("int").alias("lotes_enviados"), k.cast("int").alias("atos_coletados"), k.cast("int").alias("atos_categorizados"), k.cast("int").alias("materias_gravadas"), k.cast("int").alias("para_revisao"))
 
 
-@query("SELECT 'r' || o_orderkey AS run_id, round((o_orderkey % 50) * 30 / 60.0, 1)::DOUBLE AS minutos, CAST(o_orderkey % 7 + o_orderkey % 5 AS INTEGER) AS erros FROM orders WHERE o_orderkey < 400 ORDER BY o_orderkey DESC LIMIT 14")
+@query("SELECT 'r' || o_orderkey AS run_id, round((o_orderkey % 50) * 30 / 60.0, 1)::DOUBLE AS minutos, CAST(o_orderkey % 7 + o_orderkey % 5 AS INTEGER) AS erros FROM orders ORDER BY o_orderkey DESC LIMIT 14")
 def run_metrics(spark, sf_dir):
     return N.numbers(_runs(spark, sf_dir)).select("run_id", "minutos", "erros")
 
 
-@query("SELECT 'r' || o_orderkey AS run_id, CASE WHEN o_orderkey % 3 = 0 THEN 'ok' ELSE 'com_erro' END || ' · ' || o_orderkey || ' coletados · ' || o_orderkey || ' categorizados · ' || o_orderkey || ' matérias · ' || o_orderkey || ' para revisão' AS mensagem FROM orders WHERE o_orderkey < 400")
+@query("SELECT 'r' || o_orderkey AS run_id, CASE WHEN o_orderkey % 3 = 0 THEN 'ok' ELSE 'com_erro' END || ' · ' || o_orderkey || ' coletados · ' || o_orderkey || ' categorizados · ' || o_orderkey || ' matérias · ' || o_orderkey || ' para revisão' AS mensagem FROM orders")
 def run_messages(spark, sf_dir):
     return N.message(_runs(spark, sf_dir))
 
 
-@query("SELECT true AS atrasada, false AS rodar, false AS enviar_lote")
+@query("""SELECT (SELECT max(946684800 + o_orderkey * 3600) FROM orders WHERE o_orderkey % 3 = 0) < epoch(TIMESTAMP '2000-03-01') - 26 * 3600 AS atrasada,
+count(*) FILTER (o_orderkey % 3 = 0) = 0 AS rodar, coalesce(sum(o_orderkey % 4), 0) = 0 AS enviar_lote FROM orders WHERE o_orderkey BETWEEN 24 AND 47""")
 def run_lateness(spark, sf_dir):
     runs = _runs(spark, sf_dir)
     return N.late(runs, "2000-03-01").select("atrasada").join(N.needs_second_attempt(runs, "2000-01-02"))  # one row each
@@ -237,11 +252,11 @@ def pdf_links(spark, sf_dir):
     return p.select("page_id", portal.pdf_link(html, F.col("url")).alias("link"))
 
 
-@query("SELECT 'SC' AS tipo, o_orderkey::VARCHAR AS numero, 'RFB' AS orgao, '01/02/2003' AS publicacao, 'E & ' || o_orderpriority AS ementa, o_orderkey AS \"idAto\" FROM orders WHERE o_orderkey < 1000")
+@query("SELECT 'SC' AS tipo, o_orderkey::VARCHAR AS numero, 'RFB' AS orgao, '01/02/2003' AS publicacao, 'E & ' || o_orderpriority AS ementa, o_orderkey AS \"idAto\" FROM orders")
 def listing_scan(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey < 1000")
+    o = table(spark, sf_dir, "orders")
     row = F.concat(F.lit('<tr><td>SC</td><td><a href="ato?idAto='), F.col("o_orderkey").cast("string"), F.lit('">'), F.col("o_orderkey").cast("string"), F.lit("</a></td><td> RFB</td><td>01/02/2003</td><td>E &amp;  "), "o_orderpriority", F.lit("</td></tr>"))
-    pages = o.groupBy((F.col("o_orderkey") % 10).alias("pagina")).agg(F.concat(F.lit('<html><table id="tabelaAtos"><tr><th>x</th></tr>'), F.concat_ws("\n", F.collect_list(row)), F.lit("</table>")).alias("html"))
+    pages = o.groupBy(F.expr("o_orderkey div 100").alias("pagina")).agg(F.concat(F.lit('<html><table id="tabelaAtos"><tr><th>x</th></tr>'), F.concat_ws("\n", F.collect_list(row)), F.lit("</table>")).alias("html"))
     return portal.listing_rows(pages)
 
 
@@ -268,10 +283,10 @@ def event_windows(spark, sf_dir):
 @query("SELECT user_id, event_type, max_by(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY 1, 2")
 def stream_upsert(spark, sf_dir):
     """The events as a stream of files, merged into a table by user and type; the latest event wins."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="actlens-")
-    root = f"{shared.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{spark._jvm.java.util.UUID.randomUUID()}"
+    root = f"{shared_dir(spark)}/stream-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id")
     e.repartition(3).write.parquet(f"{root}/landing")
-    rows = stream.read_stream(spark, f"{root}/landing", "user_id long, event_type string, value double, event_id long", files=1)
+    schema = "user_id long, event_type string, value double, event_id long"
+    rows = stream.read_stream(spark, f"{root}/landing", schema, files=1)
     stream.run_once(rows, stream.upsert_sink(f"{root}/table", ["user_id", "event_type"], "event_id"), f"{root}/state")
-    return spark.read.parquet(f"{root}/table")
+    return Store(spark, f"{root}/table", ["user_id", "event_type"], rows.schema).read()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from actlens.plans import base_plans, search_plans, state_plans, text_plans, time_plans  # noqa: F401
+from actlens.plans import base_plans, flow_plans, search_plans, state_plans, text_plans, time_plans  # noqa: F401
 from actlens.plans.base import QUERIES, SQL, Query
 
 

@@ -12,6 +12,12 @@ from actlens.operators import partition as P
 from actlens.operators import views as W
 from actlens.plans.base import query, table
 
+#: The values that these queries name.
+VOCABULARY = {
+    "tributos": {"_canonicos": ["IRPJ", "CSLL", "PIS", "COFINS", "ISS", "GILRAT", "EMPRESTIMO_COMPULSORIO"], "_aliases": {"PIS": ["PASEP", "PIS-PASEP"], "COFINS": ["FINSOCIAL"], "CSLL": ["CSL"], "ISS": ["ISSQN"], "GILRAT": ["RAT"]}, "_rejeitar_valores": ["IN", "FGTS"]},
+    "temas_macro": {"_canonicos": ["CREDITAMENTO"], "_aliases": {"CREDITAMENTO": ["CREDITAMENTE"]}},
+    "regimes_tributarios": {"_canonicos": ["nao_cumulativo"], "_aliases": {"nao_cumulativo": ["não-cumulativo"]}},
+}
 _HTML = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate({e}, chr(160), ' '), '[ \t]+', ' ', 'g'), ' *\n *', E'\n', 'g'), '\n{{3,}}', E'\n\n', 'g'), '^\s+|\s+$', '', 'g')"""
 _TAGS = r"""regexp_replace(regexp_replace(coalesce(html, ''), '(?i)<\s*br\s*/?\s*>|</\s*p\s*>', E'\n', 'g'), '<[^>]+>', '', 'g')"""
 _UNESCAPED = _TAGS
@@ -133,7 +139,7 @@ def matter_provisions(spark, sf_dir):
 
 def _matter_rows(spark, sf_dir):
     rows = G.parsed(_replies(spark, sf_dir), "resposta").where("size(erros) = 0")
-    return G.matter_rows(G.merged(rows.select("ato_id", "parte", "saida")), N.alias_table(spark))
+    return G.matter_rows(G.merged(rows.select("ato_id", "parte", "saida")), N.alias_table(spark, VOCABULARY))
 
 
 @query("""SELECT p_partkey AS ato_id, CASE WHEN p_partkey % 2 = 0 AND p_size % 4 = 0 THEN 'falta nome,valor de tipo' WHEN p_partkey % 2 = 0 THEN 'falta nome' WHEN p_size % 4 = 0 THEN 'valor de tipo,campo a mais: x' ELSE 'campo a mais: x' END AS faltas FROM part""")
@@ -145,7 +151,10 @@ def schema_validation(spark, sf_dir):
     return p.select(F.col("p_partkey").alias("ato_id"), F.array_join(G.schema_faults(payload, schema), ",").alias("faltas"))
 
 
-@query()
+@query("""
+SELECT *, sha256(texto) AS sha256 FROM (
+SELECT l_orderkey AS "idAto", coalesce(string_agg('Art. ' || l_partkey || ' x', E'\n\n' ORDER BY l_suppkey, '{"idSegmento":' || (l_partkey + 1) || ',"versaoSegmento":' || l_linenumber || ',') FILTER (l_returnflag <> 'R'), '') AS texto,
+  CASE WHEN max(l_linenumber) > 1 THEN 'vigente_alterado' ELSE 'vigente_nunca_alterado' END AS status, false AS corpo_em_arquivo FROM lineitem GROUP BY 1) z""")
 def view_texts(spark, sf_dir):
     return W.texts(_views(spark, sf_dir))
 
@@ -179,12 +188,12 @@ _TAX = "CASE p_partkey % 8 WHEN 0 THEN 'PIS' WHEN 1 THEN 'COFINS' WHEN 3 THEN 'G
 
 @query(f"SELECT p_partkey, {_TAX} AS canonico FROM part")
 def normalised_tax(spark, sf_dir):
-    return N.normalized(_tax_values(spark, sf_dir), "tributo", "tributos", N.alias_table(spark)).select("p_partkey", "canonico")
+    return N.normalized(_tax_values(spark, sf_dir), "tributo", "tributos", N.alias_table(spark, VOCABULARY)).select("p_partkey", "canonico")
 
 
 @query(f"""SELECT ['Pis-Pasep', 'FINSOCIAL', 'FGTS', 'RAT', 'empréstimo compulsório', 'ISSQN', 'csl', 'nada'][p_partkey % 8 + 1] AS antes, {_TAX} AS depois, count(*) AS n, CASE WHEN {_TAX} IS NULL THEN 'removido' ELSE 'alterado' END AS acao FROM part GROUP BY 1, 2, 4""")
 def normalisation_report(spark, sf_dir):
-    return N.report(_tax_values(spark, sf_dir), "tributo", "tributos", N.alias_table(spark))
+    return N.report(_tax_values(spark, sf_dir), "tributo", "tributos", N.alias_table(spark, VOCABULARY))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'PIS,COFINS' WHEN 1 THEN 'IRPJ,CSLL' WHEN 2 THEN 'ISS' ELSE 'IRPJ' END AS canonicos FROM part WHERE p_partkey % 5 <> 4""")
@@ -192,7 +201,7 @@ def composite_tax(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey") % 4
     value = F.when(F.col("p_partkey") % 5 == 4, "nada/nenhum").when(k == 0, "PIS/COFINS").when(k == 1, "IRPJ E CSLL").when(k == 2, "ISSQN").otherwise("xx - IRPJ")
-    return N.decomposed(p.select("p_partkey", value.alias("t")), "p_partkey", "t", N.alias_table(spark)).select("p_partkey", F.array_join("canonicos", ",").alias("canonicos"))
+    return N.decomposed(p.select("p_partkey", value.alias("t")), "p_partkey", "t", N.alias_table(spark, VOCABULARY)).select("p_partkey", F.array_join("canonicos", ",").alias("canonicos"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'IRPJ.LUCRO_REAL' WHEN 1 THEN 'CREDITO.' || upper(replace(p_name, ' ', '_')) END AS tema FROM part""")
@@ -294,20 +303,32 @@ def dossier(spark, sf_dir):
     return D.compiled(d, queries, ["source", "lang"], "text", ["scum"], ["license"]).drop("classe")
 
 
-@query("""SELECT o.o_orderkey AS id, string_agg(l.l_linenumber || ':' || l.l_returnflag, ';' ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey) AS materias FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderkey IN (1, 2, 3, 50, 77) GROUP BY 1""")
+@query("""
+WITH l AS (SELECT *, l_orderkey * 10 + l_linenumber AS id FROM lineitem WHERE l_orderkey IN (1, 2, 3, 50, 77)),
+t AS (SELECT id, string_agg(c, '+' ORDER BY c) AS t FROM (SELECT DISTINCT id, 'T' || l_linestatus AS c FROM l) GROUP BY id),
+p AS (SELECT id, string_agg('lei ' || lpad(l_suppkey::VARCHAR, 9, '0') || ' art. ' || l_linenumber, '+' ORDER BY l_suppkey) AS p FROM l WHERE l_returnflag <> 'N' GROUP BY id)
+SELECT l_orderkey AS id, string_agg(concat_ws(':', l_linenumber, l_returnflag, t.t, coalesce(p.p, '')), ';' ORDER BY l_linenumber, l_partkey, l_suppkey) AS materias
+FROM l JOIN t USING (id) LEFT JOIN p USING (id) GROUP BY 1""")
 def consolidation(spark, sf_dir):
     o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     acts = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("nome"))
-    m = l.select(F.col("l_orderkey").alias("ato_id"), F.col("l_linenumber").alias("ordem"), F.concat_ws("-", F.lpad(F.col("l_partkey").cast("string"), 9, "0"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("tema_especifico"), F.col("l_returnflag").alias("solucao"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
-    none = m.limit(0).select(F.col("id").alias("materia_id"), F.lit("x").alias("tributo_codigo"), F.lit("x").alias("tipo_norma"), F.lit("x").alias("referencia"), F.lit("x").alias("dispositivo"))
+    matter = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    m = l.select(F.col("l_orderkey").alias("ato_id"), F.col("l_linenumber").alias("ordem"), F.concat_ws("-", F.lpad(F.col("l_partkey").cast("string"), 9, "0"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("tema_especifico"), F.col("l_returnflag").alias("solucao"), matter.alias("id"))
+    taxes = l.select(matter.alias("materia_id"), F.concat(F.lit("T"), "l_linestatus").alias("tributo_codigo"))
+    provisions = l.where("l_returnflag <> 'N'").select(matter.alias("materia_id"), F.lit("lei").alias("tipo_norma"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("referencia"), F.concat(F.lit("art. "), F.col("l_linenumber").cast("string")).alias("dispositivo"))
     edges = l.select(F.col("l_orderkey").alias("origem"), F.col("l_returnflag").alias("tipo"), F.col("l_partkey").alias("destino"))
-    out = D.consolidated(acts, m, none, none, edges, [1, 2, 3, 50, 77])
-    return out.where("materias is not null").select("id", F.array_join(F.transform("materias", lambda x: F.concat_ws(":", x["ordem"].cast("string"), x["solucao"])), ";").alias("materias"))
+    out = D.consolidated(acts, m, taxes, provisions, edges, [1, 2, 3, 50, 77])
+
+    def written(x):
+        uses = F.transform(x["dispositivos"], lambda d: F.concat_ws(" ", d["tipo_norma"], d["referencia"], d["dispositivo"]))
+        return F.concat_ws(":", x["ordem"].cast("string"), x["solucao"], F.array_join(x["tributos"], "+"), F.coalesce(F.array_join(uses, "+"), F.lit("")))
+
+    return out.where("materias is not null").select("id", F.array_join(F.transform("materias", written), ";").alias("materias"))
 
 
-@query("SELECT left(string_agg('### ' || source || E'\n' || CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || ' [...]' ELSE text END, E'\n\n' ORDER BY doc_id), 2000) AS contexto FROM documents WHERE doc_id < 50")
+@query("SELECT left(string_agg('### ' || source || E'\n' || CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || ' [...]' ELSE text END, E'\n\n' ORDER BY doc_id), 2000) AS contexto FROM documents")
 def context(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("doc_id < 50").withColumn("id", F.col("doc_id"))
+    d = table(spark, sf_dir, "documents").withColumn("id", F.col("doc_id"))
     return D.context(d, "source", "text", 40, 2000)
 
 

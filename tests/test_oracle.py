@@ -9,6 +9,8 @@ import pytest
 
 from actlens.plans import registry
 
+#: Queries that SQL cannot express, tested against plain readings in test_operators.
+PLAIN = {"partition_parts", "partition_outline", "partition_chunks"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -44,7 +46,7 @@ def test_query(spark, sf_dir, db, name):
     got = [tuple(r) for r in df.collect()]
     sql = registry.oracle_sql().get(name)
     if sql is None:
-        assert df.columns
+        assert name in PLAIN
         return
     result = db.execute(sql)
     names = [d[0] for d in result.description]
