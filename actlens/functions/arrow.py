@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -49,10 +50,20 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
                     yield out
         finally:
             getattr(step, "close", int)()
+            step = None
+            free_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def free_memory() -> None:
+    """Gives what a task has freed back to the system, as idle worker processes live on beside other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux only
+    if trim is not None:
+        trim(0)
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
