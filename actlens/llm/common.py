@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actlens.functions.arrow import BATCH_ROWS, arrow_map, column_of, ship, texts_of
+from actlens.sources.scratch import Scratch, shared_dir
+
+__all__ = ["BATCH_ROWS", "Scratch", "arrow_map", "column_of", "components", "ship", "shared_dir", "spread_join", "table", "texts_of"]
 
-__all__ = ["BATCH_ROWS", "Scratch", "arrow_map", "column_of", "components", "ship", "shared_dir", "table", "texts_of"]
+#: Keys that may be joined by broadcast: those with more than a HOT-th of all rows, of which there are fewer than HOT.
+HOT = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,41 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        context = spark.sparkContext
-        known = context._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            return known.get()
-        path = "file://" + tempfile.mkdtemp(prefix="actlens-")
-        context.setCheckpointDir(path)
-        return context._jsc.sc().getCheckpointDir().get()
-    return path
-
-
-class Scratch:
-    """Tables of one job in the shared folder. A written table cuts the lineage and survives lost executors."""
+def spread_join(rows: DataFrame, firsts: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` with the columns that ``firsts`` has for their keys; rows of other keys are left out.
 
-    def __init__(self, spark: SparkSession, tag: str) -> None:
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}", 0
-
-    def put(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` and read it back; the frame carries its path for ``drop``."""
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        back._scratch_path = path
-        return back
-
-    def drop(self, *frames: DataFrame) -> None:
-        """Delete written tables that nothing reads any more."""
-        jvm = self.spark._jvm
-        for frame in frames:
-            path = jvm.org.apache.hadoop.fs.Path(frame._scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    ``firsts`` has one row a key, with ``n``, the number of rows of that key; ``total`` is the number of all rows. Keys
+    of more than a ``HOT``-th of them, fewer than ``HOT``, are joined by broadcast, so that no key brings more than
+    such a part of the rows to one task.
+    """
+    least = total // HOT
+    hot = firsts.where(F.col("n") > least).drop("n")
+    here = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(firsts.where(F.col("n") <= least).drop("n"), keys)
+    return here.unionByName(rest)
 
 
 def components(scratch: Scratch, edges: DataFrame, limit: int = 60) -> DataFrame:
@@ -64,17 +42,18 @@ def components(scratch: Scratch, edges: DataFrame, limit: int = 60) -> DataFrame
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     star = scratch.put(both)
+    size = star.count()
     mark = None
     for _ in range(limit):
         two = star.unionAll(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = two.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = two.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        low = two.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = spread_join(two.where("b > a"), low, ["a"], 2 * size).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = spread_join(large, least, ["a"], size).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         new = scratch.put(small.where("a <> b").distinct())
         now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         scratch.drop(star)
-        star = new
+        star, size = new, now[0]
         if now == mark:
             break
         mark = now

@@ -6,11 +6,16 @@ batches of their one-byte signatures, and are dropped when the posterior probabi
 the threshold falls under ``MISS``; the survivors are confirmed on their full sets.
 
 No group's pairs are spelled out. Equal sets are linked by digest. In each band bucket every document is first
-tried against one hub (the smallest id); what is linked is contracted to components. Only buckets that still
-hold several components are looked at again: there, all pairs between components are compared inside blocks of
-about ``BLOCK`` signatures, so that no list, and no task, grows with a bucket. What stays is held as lists of
+tried against one hub (the smallest id), whose text goes once to each ``TEXTS`` documents that it is tried against;
+what is linked is contracted to components. Only buckets that still hold several components are looked at again:
+there, all pairs between components are compared inside blocks of about ``BLOCK`` signatures, so that no list, and no
+task, grows with a bucket; a signature goes to one block in ``BLOCK`` others. What stays is held as lists of
 candidates, by document and block of a component, and is confirmed block by block; one confirmed link to a
-component's block is enough, so that the links kept grow with the documents and not with their pairs.
+component's block is enough, so that the links kept grow with the documents and not with their pairs. These links
+join components of the first graph, and only they are worked out again.
+
+Digests, buckets, hubs and components may each hold a third of all rows: joins on them take the few large keys by
+broadcast (``spread_join``), so that none of them meets in one task.
 
 Defined cases: texts that are null or hold no word have an empty set and are linked with nothing; a text of fewer
 words than a shingle is one shingle; ties are settled by the smallest id; repeated rows of one id are kept, each
@@ -28,13 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actlens.llm.common import Scratch, arrow_map, column_of, components, texts_of
+from actlens.llm.common import HOT, Scratch, arrow_map, column_of, components, spread_join, texts_of
 
 BANDS, ROWS = 48, 7
 HASHES = BANDS * ROWS
 BATCH = 48
 MISS = 1e-5
-BLOCK = 1024
+BLOCK = 2048
 #: Documents of a component whose texts are confirmed together.
 TEXTS = 256
 MEMO = 250_000
@@ -191,7 +196,8 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 def probable(scratch: Scratch, pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (a, b) those that pass the sequential test."""
     few = only(sigs.where("sig is not null").select("doc_id", "sig"), "doc_id", ends_of(pairs))
-    both = pairs.join(few.toDF("a", "sig_a"), "a").join(few.toDF("b", "sig_b"), "b")
+    hubs = pairs.groupBy("b").agg(F.count("*").alias("n")).join(few.toDF("b", "sig_b"), "b")
+    both = spread_join(pairs.join(few.toDF("a", "sig_a"), "a"), hubs, ["b"], pairs.count())
 
     def make():
         least = least_matches(percent)
@@ -212,31 +218,32 @@ def shingle_set(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
 
 
 def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Of the pairs those whose full sets reach the similarity: 100 * intersection >= percent * union."""
+    """Of the pairs (a, hub b) those whose full sets reach the similarity: 100 * intersection >= percent * union."""
     few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", ends_of(pairs))
-    both = pairs.join(few.toDF("a", "text_a"), "a").join(few.toDF("b", "text_b"), "b")
+    hubs = pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
+    placed = spread_join(pairs, hubs, ["b"], pairs.count()).select("a", "b", F.expr("cast(pmod(xxhash64(a), m) as int)").alias("k"))
+    tried = placed.join(few.toDF("a", "text"), "a").groupBy("b", "k").agg(F.collect_list(F.struct("a", "text")).alias("tried"))
+    texts = hubs.join(few.toDF("b", "hub"), "b").select("b", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "hub")
+    both = tried.join(texts, ["b", "k"]).select("b", "hub", "tried")
 
     def make():
-        last: list = [None, set()]
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            stay = []
-            for k, (left, right) in enumerate(zip(texts_of(batch, "text_a"), texts_of(batch, "text_b"), strict=True)):
-                if last[0] != right:
-                    last[:] = right, shingle_set(words_of(right), shingle)
-                one, two = shingle_set(words_of(left), shingle), last[1]
-                common = len(one & two)
-                if common and 100 * common >= percent * (len(one) + len(two) - common):
-                    stay.append(k)
-            index = pa.array(stay, pa.int64())
-            return pa.RecordBatch.from_arrays([column_of(batch, "a").take(index), column_of(batch, "b").take(index)], ["a", "b"])
+            links: list[tuple[int, int]] = []
+            for b, hub, tried in zip(*[column_of(batch, c).to_pylist() for c in ("b", "hub", "tried")], strict=True):
+                two = shingle_set(words_of(hub or ""), shingle)
+                for x in tried:
+                    one = shingle_set(words_of(x["text"] or ""), shingle)
+                    common = len(one & two)
+                    if common and 100 * common >= percent * (len(one) + len(two) - common):
+                        links.append((x["a"], b))
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
         return step
 
-    return scratch.put(arrow_map(both.select("a", "b", "text_a", "text_b"), make, "a long, b long").distinct())
+    return scratch.put(arrow_map(both, make, "a long, b long", rows=8).distinct())
 
 
-def across(buckets: DataFrame, percent: int) -> DataFrame:
+def across(scratch: Scratch, buckets: DataFrame, percent: int) -> DataFrame:
     """(probe, comp, sub, cands): for documents of buckets with several components the plausible partners elsewhere.
 
     ``buckets`` has (bucket, doc_id, comp, sub, set_key, sig), mixed buckets only. Base rows are all documents and
@@ -245,10 +252,12 @@ def across(buckets: DataFrame, percent: int) -> DataFrame:
     """
     # equal sets are in one component and have equal signatures: one of them speaks for all
     rows = buckets.groupBy("bucket", "comp", "set_key").agg(F.min(F.struct("doc_id", "sub", "sig")).alias("m")).select("bucket", "comp", "m.*")
-    low = rows.groupBy("bucket").agg(F.min("comp").alias("low"))
-    sizes = rows.join(low, "bucket").groupBy("bucket").agg(F.first("low").alias("low"), F.count_if(F.col("comp") != F.col("low")).alias("probes"), F.count("*").alias("bases"))
-    rows = rows.join(sizes, "bucket")
-    rows = rows.withColumn("pm", F.expr(f"cast(ceil(probes / {BLOCK}) as int)")).withColumn("bm", F.expr(f"cast(ceil(bases / {BLOCK}) as int)")).where("pm > 0")
+    counts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("bucket").agg(F.min(F.struct("comp", "n")).alias("low"), F.sum("n").alias("n"))
+    sizes = sizes.select("bucket", "n", F.col("low.comp").alias("low"), F.expr(f"cast(ceil((n - low.n) / {BLOCK}) as int)").alias("pm"), F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("bm"))
+    sizes = scratch.put(sizes)
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = spread_join(rows, sizes, ["bucket"], total).where("pm > 0")
     own = F.expr("cast(pmod(xxhash64(doc_id), bm) as int)")
     mine = F.expr("cast(pmod(xxhash64(doc_id, 1), pm) as int)")
     cell = F.struct("doc_id", "comp", "sub", "sig")
@@ -280,30 +289,31 @@ def across(buckets: DataFrame, percent: int) -> DataFrame:
 
         return step
 
-    found = arrow_map(blocks.select("bases", "probes"), make, "probe long, comp long, sub long, cands array<long>", rows=64)
+    found = arrow_map(blocks.select("bases", "probes"), make, "probe long, comp long, sub long, cands array<long>", rows=16)
     # a block holds about TEXTS documents, so that its list of candidates is short
     return found.groupBy("probe", "comp", "sub").agg(F.array_distinct(F.flatten(F.collect_list("cands"))).alias("cands"))
 
 
 def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links (a, b) of probes to blocks of components, by full sets; of each block one link a probe is enough.
+    """Links (a, b) of probes to components, by full sets; of each block of a component one link a probe is enough.
 
     ``members`` has (doc_id, comp, sub): the documents of each block.
     """
-    touched = found.select("comp", "sub").distinct()
-    held = scratch.put(members.join(touched, ["comp", "sub"], "left_semi"))
+    counts = found.groupBy("comp", "sub").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
+    held = scratch.put(members.join(counts.select("comp", "sub", "m"), ["comp", "sub"]))
     needed = held.select("doc_id").unionAll(found.select(F.col("probe").alias("doc_id"))).distinct()
     texts = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", needed)
-    blocks = held.join(texts, "doc_id").groupBy("comp", "sub").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
-    counts = found.groupBy("comp", "sub").agg(F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
-    probes = found.join(counts, ["comp", "sub"]).join(texts.withColumnRenamed("doc_id", "probe"), "probe")
-    probes = probes.groupBy("comp", "sub", F.expr("pmod(xxhash64(probe), m)").alias("k")).agg(F.collect_list(F.struct("probe", "cands", "text")).alias("probes"))
-    both = probes.join(blocks, ["comp", "sub"]).select("probes", "docs")
+    blocks = held.join(texts, "doc_id").groupBy("comp", "sub", "m").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
+    blocks = blocks.select("comp", "sub", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "docs")
+    dealt = spread_join(found, counts, ["comp", "sub"], found.count()).withColumn("k", F.expr("cast(pmod(xxhash64(probe), m) as int)"))
+    probes = dealt.join(texts.withColumnRenamed("doc_id", "probe"), "probe")
+    probes = probes.groupBy("comp", "sub", "k").agg(F.collect_list(F.struct("probe", "cands", "text")).alias("probes"))
+    both = probes.join(blocks, ["comp", "sub", "k"]).select("comp", "probes", "docs")
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             links: list[tuple[int, int]] = []
-            for probes, docs in zip(column_of(batch, "probes").to_pylist(), column_of(batch, "docs").to_pylist(), strict=True):
+            for comp, probes, docs in zip(*[column_of(batch, c).to_pylist() for c in ("comp", "probes", "docs")], strict=True):
                 sets = {x["doc_id"]: shingle_set(words_of(x["text"] or ""), shingle) for x in docs}
                 for p in probes:
                     one = shingle_set(words_of(p["text"] or ""), shingle)
@@ -314,51 +324,64 @@ def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, doc
                             continue
                         common = len(one & two)
                         if common and 100 * common >= percent * (len(one) + len(two) - common):
-                            links.append((p["probe"], c))
+                            links.append((p["probe"], comp))
                             break
             return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
         return step
 
-    return scratch.put(arrow_map(both, make, "a long, b long", rows=8))
+    return scratch.put(arrow_map(both, make, "a long, b long", rows=8).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row; kept is the document with the component's smallest id."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = scratch or Scratch(docs.sparkSession, "near")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = scratch.put(signed(docs, shingle))
     named = sigs.where("set_key is not null and doc_id is not null")
+    total = named.count()
+    # equal sets, and candidates: each document with the hub of each of its buckets
+    first = scratch.put(named.groupBy("set_key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1"))
+    same = scratch.put(spread_join(named.select("set_key", F.col("doc_id").alias("a")), first, ["set_key"], total).where("a <> b").select("a", "b"))
     buckets = named.select(F.explode("bands").alias("bucket"), "doc_id")
-    hubs = buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
-    shared = scratch.put(buckets.join(hubs, "bucket"))
-    first = named.groupBy("set_key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    same = scratch.put(named.select("set_key", F.col("doc_id").alias("a")).join(first, "set_key").where("a <> b").select("a", "b"))
+    hubs = scratch.put(buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1"))
+    shared = scratch.put(spread_join(buckets, hubs, ["bucket"], BANDS * total))
     stars = shared.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct().join(same, ["a", "b"], "left_anti")
     stars = scratch.put(stars)
-    links = confirmed(scratch, probable(scratch, stars, sigs, percent), docs, shingle, percent).unionAll(same)
-    found = components(scratch, links)
+    likely = probable(scratch, stars, sigs, percent)
+    found = scratch.put(components(scratch, confirmed(scratch, likely, docs, shingle, percent).unionAll(same)))
     # only documents that are in buckets of several components are needed with their signatures
-    sizes = found.groupBy("component").agg(F.expr(f"ceil(count(*) / {TEXTS})").alias("m"))
-    placed = found.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
+    sizes = scratch.put(found.groupBy("component").agg(F.count("*").alias("n"), F.expr(f"ceil(count(*) / {TEXTS})").alias("m")))
+    placed = spread_join(found, sizes, ["component"], total).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
     named_buckets = shared.select("bucket", "doc_id").join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"), F.coalesce("sub", F.lit(0)).cast("long").alias("sub"))
     named_buckets = scratch.put(named_buckets)
-    mixed = named_buckets.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("bucket")
-    left = scratch.put(named_buckets.join(mixed, "bucket", "left_semi"))
+    scratch.drop(shared, first, hubs, stars, likely)
+    mixed = named_buckets.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low < high").select("bucket", "n")
+    left = scratch.put(spread_join(named_buckets, scratch.put(mixed), ["bucket"], BANDS * total))
     members = scratch.put(left.select("doc_id", "comp", "sub").distinct())
     keyed = only(named.select("doc_id", "set_key", "sig"), "doc_id", members.select("doc_id"))
-    partners = scratch.put(across(left.join(keyed, "doc_id"), percent))
-    links = links.unionAll(confirmed_blocks(scratch, partners, members, docs, shingle, percent))
-    found = components(scratch, links)
-    scratch.drop(shared, same, stars, named_buckets, left, members, partners)
-    out = sigs.select("doc_id", "n_shingles").join(found.toDF("doc_id", "component_id"), "doc_id", "left")
-    component = F.coalesce("component_id", "doc_id")
+    partners = scratch.put(across(scratch, left.join(keyed, "doc_id"), percent))
+    scratch.drop(named_buckets, left)
+    links = confirmed_blocks(scratch, partners, members, docs, shingle, percent)
+    ends = links.join(members.select(F.col("doc_id").alias("a"), F.col("comp").alias("__of")), "a").select(F.col("__of").alias("a"), "b").distinct()
+    merged = scratch.put(components(scratch, ends).toDF("comp", "component_id"))
+    scratch.drop(partners, members)
+    out = sigs.where("doc_id is not null").select("doc_id", "n_shingles").join(found.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    # components of many rows, fewer than HOT, by broadcast; all others are joined
+    large = sizes.where(F.col("n") > total // HOT).select(F.col("component").alias("comp")).join(merged, "comp", "left").select("comp", F.coalesce("component_id", "comp").alias("component_id"))
+    here = out.join(F.broadcast(large), "comp")
+    rest = out.join(F.broadcast(large.select("comp")), "comp", "left_anti").join(merged, "comp", "left")
+    bare = sigs.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp"), F.lit(None).cast("long").alias("component_id"))
+    out = here.unionByName(rest).unionByName(bare)
+    component = F.coalesce("component_id", "comp")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` (with doc_id and text) that near-duplicate detection keeps, with their own columns."""
-    scratch = Scratch(docs.sparkSession, "gone")
-    gone = scratch.put(near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    spark = docs.sparkSession
+    work = Scratch(spark, "near")
+    found = near_duplicates(docs, shingle, percent, scratch=work)
+    gone = Scratch(spark, "gone").put(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    work.clear()
     return without(docs, "doc_id", gone).select(*docs.columns)
