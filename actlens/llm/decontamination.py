@@ -280,10 +280,10 @@ class Searcher:
         return [(item, v[2], v[0], v[1]) for item, v in sorted(best.items())]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(id, item_id, cosine, lcs_share, answer_share): a row for each document and benchmark item found in it."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "leaks")
+    scratch = scratch or Scratch(spark, "leaks")
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, item_id long, cosine double, lcs_share double, answer_share double"
     found: list[DataFrame] = []
@@ -345,5 +345,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows in which no benchmark item is found, with their own columns."""
     # written first, so that the join knows its size and need not shuffle the documents
-    found = Scratch(docs.sparkSession, "leaks").put(contaminated(docs, benchmark).select(F.col("doc_id").alias("__hit")).distinct())
+    work = Scratch(docs.sparkSession, "leaks")
+    found = Scratch(docs.sparkSession, "hits").put(contaminated(docs, benchmark, scratch=work).select(F.col("doc_id").alias("__hit")).distinct())
+    work.clear()
     return docs.join(found, docs["doc_id"] == F.col("__hit"), "left_anti").select(*docs.columns)
