@@ -38,6 +38,8 @@ from actlens.llm.common import BATCH_ROWS, Scratch, arrow_map, column_of, ship,
 LENGTH = 2048
 PER_SHARD = 8192
 END = 50256
+#: Tasks that write shards, at most.
+TASKS = 50_000
 MEMO = 400_000
 
 
@@ -193,7 +195,7 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
     width = dtype.itemsize
 
     def pack():
-        compress = zstandard.ZstdCompressor(level=3).compress  # ids hold little per byte: less to shuffle
+        compress = zstandard.ZstdCompressor(level=6).compress  # ids hold little per byte: less to shuffle
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             parts: dict[int, list[tuple]] = {}
@@ -217,7 +219,11 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
 
     cell = f"struct<slot:long,number:long,at:int,size:int,doc:{id_type},docs:int,goes_on:boolean>"
     placed = arrow_map(held.join(bases, ["file", "first"]), pack, f"shard long, cells array<{cell}>, payload binary")
-    ordered = placed.repartitionByRange(max(1, -(-n // per_shard)), "shard").sortWithinPartitions("shard")
+    # ranges of shards by number, so that no sample is needed and a task has one shard, or a few of a very long table
+    shards = max(1, -(-n // per_shard))
+    tasks = min(shards, TASKS)
+    placed = placed.withColumn("task", F.expr(f"cast(shard * {tasks} div {shards} as int)"))
+    ordered = placed.repartitionById(tasks, "task").drop("task").sortWithinPartitions("shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(target)
