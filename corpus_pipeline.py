@@ -39,9 +39,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again before the next."""
+    """All stages over documents, each written and read again before the next; a table that is no longer read is deleted."""
     scratch = Scratch(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = scratch.put(stage(spark, docs, sf_dir))
+        docs, before = scratch.put(stage(spark, docs, sf_dir)), written
+        if before is not None:
+            scratch.drop(before)
+        written = docs
     return docs
