@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from actlens.functions.arrow import BATCH_ROWS, arrow_map, column_of, ship, texts_of
 from actlens.sources.scratch import Scratch, shared_dir
 
-__all__ = ["BATCH_ROWS", "Scratch", "arrow_map", "column_of", "components", "ship", "shared_dir", "spread_join", "table", "texts_of"]
+__all__ = ["BATCH_ROWS", "Scratch", "arrow_map", "column_of", "components", "largest", "ship", "shared_dir", "spread_join", "table", "texts_of"]
 
-#: Keys that may be joined by broadcast: those with more than a HOT-th of all rows, of which there are fewer than HOT.
+#: Keys that are joined by broadcast, the largest ones: every other key has less than a HOT-th of all rows.
 HOT = 1024
 
 
@@ -19,17 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_join(rows: DataFrame, firsts: DataFrame, keys: list[str], total: int) -> DataFrame:
+def largest(firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``HOT`` rows of the largest ``n``, ties by key."""
+    return firsts.orderBy(F.desc("n"), *keys).limit(HOT)
+
+
+def spread_join(rows: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with the columns that ``firsts`` has for their keys; rows of other keys are left out.
 
-    ``firsts`` has one row a key, with ``n``, the number of rows of that key; ``total`` is the number of all rows. Keys
-    of more than a ``HOT``-th of them, fewer than ``HOT``, are joined by broadcast, so that no key brings more than
-    such a part of the rows to one task.
+    ``firsts`` has one row a key, with ``n``, the number of rows of that key. The ``HOT`` largest keys are joined by
+    broadcast, so that no key brings more than a ``HOT``-th of the rows to one task; all sizes of tables go the same way.
     """
-    least = total // HOT
-    hot = firsts.where(F.col("n") > least).drop("n")
+    hot = largest(firsts, keys).drop("n")
     here = rows.join(F.broadcast(hot), keys)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(firsts.where(F.col("n") <= least).drop("n"), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(firsts.drop("n"), keys)
     return here.unionByName(rest)
 
 
@@ -42,18 +45,17 @@ def components(scratch: Scratch, edges: DataFrame, limit: int = 60) -> DataFrame
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     star = scratch.put(both)
-    size = star.count()
     mark = None
     for _ in range(limit):
         two = star.unionAll(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = two.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        large = spread_join(two.where("b > a"), low, ["a"], 2 * size).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = spread_join(two.where("b > a"), low, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = spread_join(large, least, ["a"], size).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        small = spread_join(large, least, ["a"]).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         new = scratch.put(small.where("a <> b").distinct())
         now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         scratch.drop(star)
-        star, size = new, now[0]
+        star = new
         if now == mark:
             break
         mark = now

@@ -14,7 +14,7 @@ candidates, by document and block of a component, and is confirmed block by bloc
 component's block is enough, so that the links kept grow with the documents and not with their pairs. These links
 join components of the first graph, and only they are worked out again.
 
-Digests, buckets, hubs and components may each hold a third of all rows: joins on them take the few large keys by
+Digests, buckets, hubs and components may each hold a third of all rows: joins on them take the largest keys by
 broadcast (``spread_join``), so that none of them meets in one task.
 
 Defined cases: texts that are null or hold no word have an empty set and are linked with nothing; a text of fewer
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actlens.llm.common import HOT, Scratch, arrow_map, column_of, components, spread_join, texts_of
+from actlens.llm.common import Scratch, arrow_map, column_of, components, largest, spread_join, texts_of
 
 BANDS, ROWS = 48, 7
 HASHES = BANDS * ROWS
@@ -197,7 +197,7 @@ def probable(scratch: Scratch, pairs: DataFrame, sigs: DataFrame, percent: int)
     """Of candidate pairs (a, b) those that pass the sequential test."""
     few = only(sigs.where("sig is not null").select("doc_id", "sig"), "doc_id", ends_of(pairs))
     hubs = pairs.groupBy("b").agg(F.count("*").alias("n")).join(few.toDF("b", "sig_b"), "b")
-    both = spread_join(pairs.join(few.toDF("a", "sig_a"), "a"), hubs, ["b"], pairs.count())
+    both = spread_join(pairs.join(few.toDF("a", "sig_a"), "a"), hubs, ["b"])
 
     def make():
         least = least_matches(percent)
@@ -221,7 +221,7 @@ def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int,
     """Of the pairs (a, hub b) those whose full sets reach the similarity: 100 * intersection >= percent * union."""
     few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", ends_of(pairs))
     hubs = pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
-    placed = spread_join(pairs, hubs, ["b"], pairs.count()).select("a", "b", F.expr("cast(pmod(xxhash64(a), m) as int)").alias("k"))
+    placed = spread_join(pairs, hubs, ["b"]).select("a", "b", F.expr("cast(pmod(xxhash64(a), m) as int)").alias("k"))
     tried = placed.join(few.toDF("a", "text"), "a").groupBy("b", "k").agg(F.collect_list(F.struct("a", "text")).alias("tried"))
     texts = hubs.join(few.toDF("b", "hub"), "b").select("b", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "hub")
     both = tried.join(texts, ["b", "k"]).select("b", "hub", "tried")
@@ -255,9 +255,7 @@ def across(scratch: Scratch, buckets: DataFrame, percent: int) -> DataFrame:
     counts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("bucket").agg(F.min(F.struct("comp", "n")).alias("low"), F.sum("n").alias("n"))
     sizes = sizes.select("bucket", "n", F.col("low.comp").alias("low"), F.expr(f"cast(ceil((n - low.n) / {BLOCK}) as int)").alias("pm"), F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("bm"))
-    sizes = scratch.put(sizes)
-    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rows = spread_join(rows, sizes, ["bucket"], total).where("pm > 0")
+    rows = spread_join(rows, scratch.put(sizes), ["bucket"]).where("pm > 0")
     own = F.expr("cast(pmod(xxhash64(doc_id), bm) as int)")
     mine = F.expr("cast(pmod(xxhash64(doc_id, 1), pm) as int)")
     cell = F.struct("doc_id", "comp", "sub", "sig")
@@ -305,7 +303,7 @@ def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, doc
     texts = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", needed)
     blocks = held.join(texts, "doc_id").groupBy("comp", "sub", "m").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
     blocks = blocks.select("comp", "sub", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "docs")
-    dealt = spread_join(found, counts, ["comp", "sub"], found.count()).withColumn("k", F.expr("cast(pmod(xxhash64(probe), m) as int)"))
+    dealt = spread_join(found, counts, ["comp", "sub"]).withColumn("k", F.expr("cast(pmod(xxhash64(probe), m) as int)"))
     probes = dealt.join(texts.withColumnRenamed("doc_id", "probe"), "probe")
     probes = probes.groupBy("comp", "sub", "k").agg(F.collect_list(F.struct("probe", "cands", "text")).alias("probes"))
     both = probes.join(blocks, ["comp", "sub", "k"]).select("comp", "probes", "docs")
@@ -339,25 +337,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = scratch.put(signed(docs, shingle))
     named = sigs.where("set_key is not null and doc_id is not null")
-    total = named.count()
     # equal sets, and candidates: each document with the hub of each of its buckets
     first = scratch.put(named.groupBy("set_key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1"))
-    same = scratch.put(spread_join(named.select("set_key", F.col("doc_id").alias("a")), first, ["set_key"], total).where("a <> b").select("a", "b"))
+    same = scratch.put(spread_join(named.select("set_key", F.col("doc_id").alias("a")), first, ["set_key"]).where("a <> b").select("a", "b"))
     buckets = named.select(F.explode("bands").alias("bucket"), "doc_id")
     hubs = scratch.put(buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1"))
-    shared = scratch.put(spread_join(buckets, hubs, ["bucket"], BANDS * total))
+    shared = scratch.put(spread_join(buckets, hubs, ["bucket"]))
     stars = shared.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct().join(same, ["a", "b"], "left_anti")
     stars = scratch.put(stars)
     likely = probable(scratch, stars, sigs, percent)
     found = scratch.put(components(scratch, confirmed(scratch, likely, docs, shingle, percent).unionAll(same)))
     # only documents that are in buckets of several components are needed with their signatures
     sizes = scratch.put(found.groupBy("component").agg(F.count("*").alias("n"), F.expr(f"ceil(count(*) / {TEXTS})").alias("m")))
-    placed = spread_join(found, sizes, ["component"], total).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
+    placed = spread_join(found, sizes, ["component"]).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
     named_buckets = shared.select("bucket", "doc_id").join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"), F.coalesce("sub", F.lit(0)).cast("long").alias("sub"))
     named_buckets = scratch.put(named_buckets)
     scratch.drop(shared, first, hubs, stars, likely)
     mixed = named_buckets.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low < high").select("bucket", "n")
-    left = scratch.put(spread_join(named_buckets, scratch.put(mixed), ["bucket"], BANDS * total))
+    left = scratch.put(spread_join(named_buckets, scratch.put(mixed), ["bucket"]))
     members = scratch.put(left.select("doc_id", "comp", "sub").distinct())
     keyed = only(named.select("doc_id", "set_key", "sig"), "doc_id", members.select("doc_id"))
     partners = scratch.put(across(scratch, left.join(keyed, "doc_id"), percent))
@@ -367,8 +364,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     merged = scratch.put(components(scratch, ends).toDF("comp", "component_id"))
     scratch.drop(partners, members)
     out = sigs.where("doc_id is not null").select("doc_id", "n_shingles").join(found.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    # components of many rows, fewer than HOT, by broadcast; all others are joined
-    large = sizes.where(F.col("n") > total // HOT).select(F.col("component").alias("comp")).join(merged, "comp", "left").select("comp", F.coalesce("component_id", "comp").alias("component_id"))
+    # the largest components by broadcast; all others are joined
+    large = largest(sizes, ["component"]).select(F.col("component").alias("comp")).join(merged, "comp", "left").select("comp", F.coalesce("component_id", "comp").alias("component_id"))
     here = out.join(F.broadcast(large), "comp")
     rest = out.join(F.broadcast(large.select("comp")), "comp", "left_anti").join(merged, "comp", "left")
     bare = sigs.where("doc_id is null").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("comp"), F.lit(None).cast("long").alias("component_id"))

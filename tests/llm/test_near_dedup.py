@@ -50,8 +50,7 @@ def corpus(seed, n):
 def test_components_equal_brute_force(spark, monkeypatch, size, seed, hot):
     monkeypatch.setattr(N, "BLOCK", 8)
     monkeypatch.setattr(N, "TEXTS", 4)
-    for module in (common, N):  # some keys by broadcast and others joined, or all by broadcast
-        monkeypatch.setattr(module, "HOT", hot)
+    monkeypatch.setattr(common, "HOT", hot)  # some keys by broadcast and others joined, or all by broadcast
     rows = corpus(seed, 220)
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component_id string")
     found = {r["doc_id"]: r for r in N.near_duplicates(docs, size, 80).collect()}
@@ -94,5 +93,5 @@ def test_spread_join_equals_a_join(spark, monkeypatch, hot):
     monkeypatch.setattr(common, "HOT", hot)
     rows = spark.createDataFrame([(k % 7 if k % 2 else 1, k) for k in range(200)] + [(None, 900), (50, 901)], "a long, v long")
     firsts = rows.where("a < 50").groupBy("a").count().withColumnRenamed("count", "n").selectExpr("a", "a * 10 as w", "n").where("a <> 3")
-    out = common.spread_join(rows, firsts, ["a"], rows.count())
+    out = common.spread_join(rows, firsts, ["a"])
     assert sorted((r["a"], r["v"], r["w"]) for r in out.collect()) == sorted((r["a"], r["v"], r["a"] * 10) for r in rows.collect() if r["a"] not in (None, 3, 50))
