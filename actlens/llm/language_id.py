@@ -47,6 +47,7 @@ def _numerals() -> str:
 
 #: Letters exactly; and the quick forms for texts without a numeral, and for ASCII.
 LETTERS, NUMERALS = re.compile(rf"[^\W\d_{_numerals()}]+"), re.compile(f"[{_numerals()}]")
+LATIN_NUMERALS = "\u00b2\u00b3\u00b9\u00bc\u00bd\u00be"
 QUICK, ASCII = re.compile(r"[^\W\d_]+"), re.compile(r"[A-Za-z]+")
 #: a letter that is not Latin
 BEYOND = re.compile(r"[^\W\d_\x41-\u024f\u1e00-\u1eff]")
@@ -63,16 +64,22 @@ def script_of(letter: str) -> str:
     return next((s for a, b, s in SCRIPTS if a <= code <= b), "other")
 
 
+def within_latin(text: str) -> bool:
+    """Whether all characters are under U+0250, where letters are Latin; a quick test of most texts."""
+    return int(np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16).max(initial=0)) < 0x250
+
+
 def letter_runs(text: str) -> list[str]:
     if text.isascii():
         return ASCII.findall(text)
-    return (LETTERS if NUMERALS.search(text) else QUICK).findall(text)
+    numeral = any(c in text for c in LATIN_NUMERALS) if within_latin(text) else NUMERALS.search(text)
+    return (LETTERS if numeral else QUICK).findall(text)
 
 
 def words_of(text: str) -> list[str]:
     """The runs of letters of a text, cut where the script changes, long ones in pieces."""
     found = letter_runs(text)
-    if not text.isascii() and BEYOND.search(text):
+    if not (text.isascii() or within_latin(text)) and BEYOND.search(text):
         found = ["".join(part) for run in found for _, part in groupby(run, script_of)]
     if found and max(map(len, found)) > LONGEST:
         found = [x for run in found for x in ([run] if len(run) <= LONGEST else [run[k : k + PIECE] for k in range(0, len(run), PIECE)])]
