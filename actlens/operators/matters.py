@@ -156,6 +156,13 @@ def result_state(gated: DataFrame) -> DataFrame:
     return gated.withColumn("estado", F.when(failed, "erro").when(F.col("materias") == 0, "vazio").when(F.size("motivos") > 0, "revisao").otherwise("gravado"))
 
 
+def exit_code(results: DataFrame) -> int:
+    """1 if any result failed or lacks a sign or vector that it was to have (columns erro, sem_sinal, sem_vetor), else 0."""
+    bad = [F.col("erro").isNotNull() & (F.col("erro") != "")] if "erro" in results.columns else []
+    bad += [F.coalesce(F.col(c), F.lit(False)) for c in ("sem_sinal", "sem_vetor") if c in results.columns]
+    return int(bool(bad) and not results.where(reduce(lambda a, b: a | b, bad)).isEmpty())
+
+
 def prompt(text: Column, label: Column, total: Column, path: Column, abstract_only: Column) -> Column:
     """The user message of a part: fragment header, warning for abstracts, then the text."""
     head = F.when(total > 1, F.concat(F.lit("Parte "), label, F.lit(" de "), total.cast("string"), F.when(path != "", F.concat(F.lit(" — "), path)).otherwise(""), F.lit("\n\n"))).otherwise("")

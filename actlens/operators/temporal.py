@@ -37,6 +37,22 @@ def in_force(valid: DataFrame, at: str, omit_mode: str = "before_max") -> DataFr
     return best.where(~F.coalesce("is_omitido", F.lit(False))) if omit_mode == "after_max" else best
 
 
+def register_text_in_force(valid: DataFrame, name: str = "texto_vigente_em") -> None:
+    """A SQL table function ``name(ato, dia)`` over segments with ``inicio`` (see ``validity``): the text shown on a day.
+
+    It returns (ato_id, id_segmento, versao, ordem, texto_integra), omitted versions left out before the latest is
+    taken, for this session. The segments become the temporary view ``name_segmentos``.
+    """
+    spark = valid.sparkSession
+    columns = ("ato_id", "id_segmento", "versao", "ordem", "texto_integra")
+    valid.select(*columns, "inicio", "is_omitido").createOrReplaceTempView(f"{name}_segmentos")
+    types = {f.name: f.dataType.simpleString() for f in valid.schema}
+    best = ", ".join(f"s.{c}" for c in columns[2:])
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(ato BIGINT, dia DATE) RETURNS TABLE ({", ".join(f"{c} {types[c]}" for c in columns)}) RETURN
+        SELECT ato_id, id_segmento, {best} FROM (SELECT ato_id, id_segmento, max_by(struct({", ".join(columns[2:])}), versao) AS s FROM {name}_segmentos
+        WHERE ato_id = ato AND inicio <= dia AND NOT coalesce(is_omitido, false) GROUP BY ato_id, id_segmento)""")
+
+
 def current_segments(segments: DataFrame, changes: DataFrame) -> DataFrame:
     """Compiled segments with the number of their changes."""
     counts = changes.groupBy("ato_id", "id_segmento").agg(F.count("*").alias("alteracoes"))

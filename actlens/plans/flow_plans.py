@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from actlens.operators import coverage as V
+from actlens.operators import matters as G
 from actlens.operators import merge as M
 from actlens.operators import normalize as N
 from actlens.operators import partition as P
@@ -162,6 +163,17 @@ def truncation(spark, sf_dir):
     return rows.select("doc_id", "so_ementa", F.when(F.col("partes") > 1, "dividir").otherwise("manter").alias("ao_truncar"))
 
 
+@query("SELECT p_partkey AS ato_id, 1 AS ordem, CASE WHEN p_size % 2 = 0 THEN '01.1' ELSE '99' END AS cnae_codigo, CASE WHEN p_size % 2 = 0 THEN p_name END AS descricao FROM part")
+def matter_cnaes(spark, sf_dir):
+    """Activity codes of matters: blank ones left out, repeated ones once."""
+    p = table(spark, sf_dir, "part")
+    code = F.struct(F.when(F.col("p_size") % 2 == 0, "01.1").otherwise("99").alias("codigo"), F.when(F.col("p_size") % 2 == 0, F.col("p_name")).alias("descricao"))
+    matter = F.struct(F.lit("x").alias("solucao"), F.array(code, code, F.struct(F.lit("  ").alias("codigo"), F.lit("nada").alias("descricao"))).alias("cnaes_aplicaveis"))
+    reply = F.to_json(F.struct(F.struct(F.lit("v").alias("eficacia")).alias("ato_metadata"), F.array(matter).alias("materias")))
+    rows = G.parsed(p.select(F.col("p_partkey").alias("ato_id"), F.lit(1).alias("parte"), reply.alias("r")), "r")
+    return G.matter_rows(G.merged(rows.select("ato_id", "parte", "saida")), N.alias_table(spark, {"temas_macro": {"_canonicos": ["X"]}}))["materia_cnae"].select("ato_id", "ordem", "cnae_codigo", "descricao")
+
+
 # --- vocabularies and statistics
 
 

@@ -12,11 +12,13 @@ from actlens import cli, schema
 from actlens.functions import scoring
 from actlens.functions import text as X
 from actlens.operators import conflicts as C
+from actlens.operators import matters as G
 from actlens.operators import merge as M
 from actlens.operators import normalize as N
 from actlens.operators import queues as Q
 from actlens.operators import runs
 from actlens.operators import search as S
+from actlens.operators import temporal as T
 from actlens.sources import portal, tables
 from actlens.sources.scratch import shared_dir
 from actlens.streaming import stream
@@ -140,6 +142,39 @@ def test_conflict_table_keeps_notes(spark):
     assert {r["tema"] for r in C.cleared(out, "tema", ["T"]).collect()} == {"U"} and C.cleared(out, "tema").count() == 0
 
 
+def test_models_are_injected_and_replies_stored_once(spark):
+    def model(frame):
+        return frame.assign(resposta=frame["texto"].str.upper())[["chave", "resposta"]]
+
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1)], "texto string, n int").withColumn("chave", Q.request_key("texto", "n"))
+    asked = Q.unanswered(rows, spark.createDataFrame([], "chave string"))
+    replies = Q.call_model(asked, "chave string, resposta string", model, batch=1)
+    assert sorted(r["resposta"] for r in replies.collect()) == ["A", "B"]
+    assert Q.unanswered(rows, replies).count() == 0 and all(len(r["chave"]) == 24 for r in replies.collect())
+
+
+def test_exit_codes(spark):
+    def code(rows, names):
+        return G.exit_code(spark.createDataFrame(rows, names))
+
+    assert code([(1, None, False), (2, "", None)], "id long, erro string, sem_vetor boolean") == 0
+    assert code([(1, None, False), (2, "x", None)], "id long, erro string, sem_vetor boolean") == 1
+    assert code([(1, True)], "id long, sem_sinal boolean") == 1 and code([(1,)], "id long") == 0
+
+
+def test_text_in_force_as_a_sql_function(spark):
+    rows = [(1, 10, 1, 1, "old", "2000-01-01", False), (1, 10, 2, 1, "new", "2005-01-01", False), (1, 10, 3, 1, "gone", "2006-01-01", True), (1, 11, 1, 2, "other", "2004-01-01", None), (2, 10, 1, 1, "x", "2000-01-01", False)]
+    valid = spark.createDataFrame(rows, "ato_id long, id_segmento long, versao int, ordem int, texto_integra string, d string, is_omitido boolean").withColumn("inicio", F.col("d").cast("date")).drop("d")
+    T.register_text_in_force(valid)
+
+    def shown(act, day):
+        return [r["texto_integra"] for r in spark.sql(f"SELECT * FROM texto_vigente_em({act}, DATE '{day}') ORDER BY ordem").collect()]
+
+    assert shown(1, "2003-01-01") == ["old"] and shown(1, "2007-01-01") == ["new", "other"] and shown(2, "2007-01-01") == ["x"] and shown(3, "2007-01-01") == []
+    same = T.in_force(valid.where("ato_id = 1"), "2007-01-01").orderBy("ordem").collect()
+    assert [r["texto_integra"] for r in same] == shown(1, "2007-01-01")
+
+
 def test_seeds_of_unknown_tables_fail(spark):
     one = spark.createDataFrame([("a", "x")], "codigo string, nome string")
     assert N.seeded({"t": one, "u": one}, {"t": one.withColumn("nome", F.lit("y"))})["t"].first()["nome"] == "y"
