@@ -92,7 +92,7 @@ class Vocabulary:
     def __init__(self, path: str, odd: str | None = None) -> None:
         odd = odd_characters(path) if odd is None else odd
         self.stands_for = str.maketrans(odd[::2], odd[1::2])
-        self.odd = regex.compile(f"[{regex.escape(odd[::2])}]") if odd else None
+        self.odd, self.first_odd = frozenset(odd[::2]), min(odd[::2], default=chr(0x10FFFF))
         self.blank = {c for c, x in zip(odd[::2], odd[1::2], strict=True) if x == STANDS["space"]}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -223,10 +223,15 @@ class Vocabulary:
 
     def cuts(self, text: str) -> list[str]:
         """The words of a text; one takes the place of each odd character while they are sought."""
-        if text.isascii() or self.odd is None or not self.odd.search(text):
+        if text.isascii() or self.highest(text) < self.first_odd or self.odd.isdisjoint(text):
             return self.split.findall(text)
         return [text[m.start() : m.end()] for m in self.split.finditer(text.translate(self.stands_for))]
 
+    @staticmethod
+    def highest(text: str) -> str:
+        """The largest code unit of a text, which is under that of any odd character in most texts."""
+        return max(text) if len(text) < MEMO_CHARS else chr(int(np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16).max()))
+
     def is_space(self, letter: str) -> bool:
         return letter.isspace() or letter in self.blank
 

@@ -56,7 +56,7 @@ def test_every_code_point(v, reference):
         texts = ["".join(part)] if "\U00040000" <= part[0] < "\U000dffff" or part[0] > "\U000e2000" else ["\n".join(f"a{c}'ll1{c}! {c}" for c in part)]
         for text in texts:
             assert v.cuts(text) == [text[a:b] for _, (a, b) in cut(text)], hex(k)
-    odd = [c for c in codes if v.odd.match(c)]
+    odd = sorted(v.odd)
     assert odd
     for k in range(0, len(odd), 500):  # whole encodings, as chunks and as texts
         same(v, reference, " ".join(f"a{c}'ll {c}{c}1{c}" for c in odd[k : k + 60]))
