@@ -196,7 +196,7 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 def probable(scratch: Scratch, pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """Of candidate pairs (a, b) those that pass the sequential test."""
     few = only(sigs.where("sig is not null").select("doc_id", "sig"), "doc_id", ends_of(pairs))
-    hubs = pairs.groupBy("b").agg(F.count("*").alias("n")).join(few.toDF("b", "sig_b"), "b")
+    hubs = scratch.put(pairs.groupBy("b").agg(F.count("*").alias("n")).join(few.toDF("b", "sig_b"), "b"))
     both = spread_join(pairs.join(few.toDF("a", "sig_a"), "a"), hubs, ["b"])
 
     def make():
@@ -220,7 +220,7 @@ def shingle_set(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
 def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of the pairs (a, hub b) those whose full sets reach the similarity: 100 * intersection >= percent * union."""
     few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", ends_of(pairs))
-    hubs = pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
+    hubs = scratch.put(pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
     placed = spread_join(pairs, hubs, ["b"]).select("a", "b", F.expr("cast(pmod(xxhash64(a), m) as int)").alias("k"))
     tried = placed.join(few.toDF("a", "text"), "a").groupBy("b", "k").agg(F.collect_list(F.struct("a", "text")).alias("tried"))
     texts = hubs.join(few.toDF("b", "hub"), "b").select("b", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "hub")
@@ -297,7 +297,7 @@ def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, doc
 
     ``members`` has (doc_id, comp, sub): the documents of each block.
     """
-    counts = found.groupBy("comp", "sub").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m"))
+    counts = scratch.put(found.groupBy("comp", "sub").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
     held = scratch.put(members.join(counts.select("comp", "sub", "m"), ["comp", "sub"]))
     needed = held.select("doc_id").unionAll(found.select(F.col("probe").alias("doc_id"))).distinct()
     texts = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", needed)
