@@ -212,8 +212,12 @@ def write_shards(docs: DataFrame, folder: str, key: int = 1, length: int = LENGT
                 goes_on = begun if a == 0 and low == 0 else low < len(ends) and (ends[low - 1] if low else 0) < a
                 parts.setdefault(slot // per_shard, []).append((slot, number, offset, ids[low], high - low + 1, goes_on, payload[a * width : b * width]))
             shards = list(parts)
-            cells = [[{"slot": x[0], "number": x[1], "at": x[2], "size": len(x[6]) // width, "doc": x[3], "docs": x[4], "goes_on": x[5]} for x in parts[k]] for k in shards]
-            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(cells, pa.list_(cell_type(column_of(batch, "ids").type.value_type))), pa.array([compress(b"".join(x[6] for x in parts[k])) for k in shards], pa.binary())], ["shard", "cells", "payload"])
+            flat = list(zip(*(x for k in shards for x in parts[k]), strict=True)) or [()] * 7
+            kinds = cell_type(column_of(batch, "ids").type.value_type)
+            fields = [*flat[:3], [len(x) // width for x in flat[6]], *flat[3:6]]
+            cells = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(fields, kinds, strict=True)], [f.name for f in kinds])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(parts[k]) for k in shards)]), pa.int32()), cells)
+            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), lists, pa.array([compress(b"".join(x[6] for x in parts[k])) for k in shards], pa.binary())], ["shard", "cells", "payload"])
 
         return step
 
