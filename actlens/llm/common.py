@@ -44,16 +44,16 @@ def components(scratch: Scratch, edges: DataFrame, limit: int = 60) -> DataFrame
     for every node that has an edge. Loops and repeated edges do no harm; empty edges give no rows.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    star = scratch.put(both)
+    star = scratch.few(both)
     mark = None
     for _ in range(limit):
         # each step is written, so that the plans stay short for the driver
         two = star.unionAll(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = scratch.put(two.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
-        large = scratch.put(spread_join(two.where("b > a"), low, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        least = scratch.put(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        low = scratch.few(two.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n"))
+        large = scratch.few(spread_join(two.where("b > a"), low, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
+        least = scratch.few(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
         small = spread_join(large, least, ["a"]).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        new = scratch.put(small.where("a <> b").distinct())
+        new = scratch.few(small.where("a <> b").distinct())
         scratch.drop(low, large, least)
         now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         scratch.drop(star)

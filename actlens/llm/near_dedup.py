@@ -220,7 +220,7 @@ def shingle_set(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
 def confirmed(scratch: Scratch, pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of the pairs (a, hub b) those whose full sets reach the similarity: 100 * intersection >= percent * union."""
     few = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", ends_of(pairs))
-    hubs = scratch.put(pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
+    hubs = scratch.few(pairs.groupBy("b").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
     placed = spread_join(pairs, hubs, ["b"]).select("a", "b", F.expr("cast(pmod(xxhash64(a), m) as int)").alias("k"))
     tried = placed.join(few.toDF("a", "text"), "a").groupBy("b", "k").agg(F.collect_list(F.struct("a", "text")).alias("tried"))
     texts = hubs.join(few.toDF("b", "hub"), "b").select("b", F.explode(F.expr("sequence(0, m - 1)")).alias("k"), "hub")
@@ -255,7 +255,7 @@ def across(scratch: Scratch, buckets: DataFrame, percent: int) -> DataFrame:
     counts = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("bucket").agg(F.min(F.struct("comp", "n")).alias("low"), F.sum("n").alias("n"))
     sizes = sizes.select("bucket", "n", F.col("low.comp").alias("low"), F.expr(f"cast(ceil((n - low.n) / {BLOCK}) as int)").alias("pm"), F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("bm"))
-    rows = spread_join(rows, scratch.put(sizes), ["bucket"]).where("pm > 0")
+    rows = spread_join(rows, scratch.few(sizes), ["bucket"]).where("pm > 0")
     own = F.expr("cast(pmod(xxhash64(doc_id), bm) as int)")
     mine = F.expr("cast(pmod(xxhash64(doc_id, 1), pm) as int)")
     cell = F.struct("doc_id", "comp", "sub", "sig")
@@ -297,8 +297,8 @@ def confirmed_blocks(scratch: Scratch, found: DataFrame, members: DataFrame, doc
 
     ``members`` has (doc_id, comp, sub): the documents of each block.
     """
-    counts = scratch.put(found.groupBy("comp", "sub").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
-    held = scratch.put(members.join(counts.select("comp", "sub", "m"), ["comp", "sub"]))
+    counts = scratch.few(found.groupBy("comp", "sub").agg(F.count("*").alias("n"), F.expr(f"cast(ceil(count(*) / {TEXTS}) as int)").alias("m")))
+    held = scratch.few(members.join(counts.select("comp", "sub", "m"), ["comp", "sub"]))
     needed = held.select("doc_id").unionAll(found.select(F.col("probe").alias("doc_id"))).distinct()
     texts = only(docs.select("doc_id", "text").where("doc_id is not null"), "doc_id", needed)
     blocks = held.join(texts, "doc_id").groupBy("comp", "sub", "m").agg(F.collect_list(F.struct("doc_id", "text")).alias("docs"))
@@ -338,30 +338,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     sigs = scratch.put(signed(docs, shingle))
     named = sigs.where("set_key is not null and doc_id is not null")
     # equal sets, and candidates: each document with the hub of each of its buckets
-    first = scratch.put(named.groupBy("set_key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1"))
-    same = scratch.put(spread_join(named.select("set_key", F.col("doc_id").alias("a")), first, ["set_key"]).where("a <> b").select("a", "b"))
+    first = scratch.few(named.groupBy("set_key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1"))
+    same = scratch.few(spread_join(named.select("set_key", F.col("doc_id").alias("a")), first, ["set_key"]).where("a <> b").select("a", "b"))
     buckets = named.select(F.explode("bands").alias("bucket"), "doc_id")
-    hubs = scratch.put(buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1"))
-    shared = scratch.put(spread_join(buckets, hubs, ["bucket"]))
+    hubs = scratch.few(buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1"))
+    shared = scratch.few(spread_join(buckets, hubs, ["bucket"]))
     stars = shared.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct().join(same, ["a", "b"], "left_anti")
-    stars = scratch.put(stars)
+    stars = scratch.few(stars)
     likely = probable(scratch, stars, sigs, percent)
-    found = scratch.put(components(scratch, confirmed(scratch, likely, docs, shingle, percent).unionAll(same)))
+    found = scratch.few(components(scratch, confirmed(scratch, likely, docs, shingle, percent).unionAll(same)))
     # only documents that are in buckets of several components are needed with their signatures
-    sizes = scratch.put(found.groupBy("component").agg(F.count("*").alias("n"), F.expr(f"ceil(count(*) / {TEXTS})").alias("m")))
+    sizes = scratch.few(found.groupBy("component").agg(F.count("*").alias("n"), F.expr(f"ceil(count(*) / {TEXTS})").alias("m")))
     placed = spread_join(found, sizes, ["component"]).select(F.col("node").alias("doc_id"), F.col("component").alias("comp"), F.expr("pmod(xxhash64(node), m)").alias("sub"))
     named_buckets = shared.select("bucket", "doc_id").join(placed, "doc_id", "left").select("bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp"), F.coalesce("sub", F.lit(0)).cast("long").alias("sub"))
-    named_buckets = scratch.put(named_buckets)
+    named_buckets = scratch.few(named_buckets)
     scratch.drop(shared, first, hubs, stars, likely)
     mixed = named_buckets.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).where("low < high").select("bucket", "n")
-    left = scratch.put(spread_join(named_buckets, scratch.put(mixed), ["bucket"]))
-    members = scratch.put(left.select("doc_id", "comp", "sub").distinct())
+    left = scratch.few(spread_join(named_buckets, scratch.few(mixed), ["bucket"]))
+    members = scratch.few(left.select("doc_id", "comp", "sub").distinct())
     keyed = only(named.select("doc_id", "set_key", "sig"), "doc_id", members.select("doc_id"))
     partners = scratch.put(across(scratch, left.join(keyed, "doc_id"), percent))
     scratch.drop(named_buckets, left)
     links = confirmed_blocks(scratch, partners, members, docs, shingle, percent)
     ends = links.join(members.select(F.col("doc_id").alias("a"), F.col("comp").alias("__of")), "a").select(F.col("__of").alias("a"), "b").distinct()
-    merged = scratch.put(components(scratch, ends).toDF("comp", "component_id"))
+    merged = scratch.few(components(scratch, ends).toDF("comp", "component_id"))
     scratch.drop(partners, members)
     out = sigs.where("doc_id is not null").select("doc_id", "n_shingles").join(found.toDF("doc_id", "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     # the largest components by broadcast; all others are joined
@@ -379,6 +379,6 @@ def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     spark = docs.sparkSession
     work = Scratch(spark, "near")
     found = near_duplicates(docs, shingle, percent, scratch=work)
-    gone = Scratch(spark, "gone").put(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    gone = Scratch(spark, "gone").few(found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
     work.clear()
     return without(docs, "doc_id", gone).select(*docs.columns)

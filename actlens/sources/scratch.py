@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tasks a core that write a table of numbers, so many that a slow one doesn't hold up the others for long.
+TASKS = 4
 _local: dict[str, str] = {}
 
 
@@ -34,11 +36,16 @@ class Scratch:
         """Write ``df`` and read it back; the frame carries its path for ``drop``."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        # no mark of success: nothing reads it, and on a local folder each file and folder costs a process (chmod)
+        df.write.option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         back._scratch_path = path
         return back
 
+    def few(self, df: DataFrame) -> DataFrame:
+        """``put`` by at most ``TASKS`` tasks a core: for rows of a few numbers, which are not worth a file for each partition."""
+        return self.put(df.coalesce(TASKS * self.spark.sparkContext.defaultParallelism))
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete written tables that nothing reads any more."""
         for frame in frames:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 
@@ -95,3 +96,21 @@ def test_spread_join_equals_a_join(spark, monkeypatch, hot):
     firsts = rows.where("a < 50").groupBy("a").count().withColumnRenamed("count", "n").selectExpr("a", "a * 10 as w", "n").where("a <> 3")
     out = common.spread_join(rows, firsts, ["a"])
     assert sorted((r["a"], r["v"], r["w"]) for r in out.collect()) == sorted((r["a"], r["v"], r["a"] * 10) for r in rows.collect() if r["a"] not in (None, 3, 50))
+
+
+def test_tables_of_numbers_take_few_files(spark):
+    scratch = common.Scratch(spark, "files")
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        found = common.components(scratch, spark.range(4000).selectExpr("id + 4000 as a", "id div 2 as b"))
+        assert found.count() == 6000 and found.where("component = node").count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tables = [[f.name for f in t.iterdir()] for t in Path(scratch.root.removeprefix("file://")).iterdir()]
+    assert tables and all(0 < sum(f.endswith(".parquet") for f in t) <= 4 * spark.sparkContext.defaultParallelism for t in tables)
+    assert not any("_SUCCESS" in t for t in tables)
+    scratch.clear()
